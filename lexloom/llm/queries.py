@@ -3,32 +3,69 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from . import near_dup, quality
+from . import langid, near_dup, quality, toxicity, urlfilter
+from .scratch import ship
+
+URL_RULES = [
+    ("org/", "allow"),
+    ("example.org/es/", "block"),
+    ("example.org/en/1", "block"),
+    ("com/fr/", "allow"),
+    ("com/de/", "block"),
+]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_id(_table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
 QUERIES = {
+    "op1_url_filter": op1_url_filter,
+    "op2_language_id": op2_language_id,
     "op4_quality_rules": op4_quality_rules,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_quality_classifier": op8_quality_classifier,
+    "op10_toxicity": op10_toxicity,
 }
 
-ORACLES: dict[str, str] = {}
+_URL = """
+SELECT page_id, CASE WHEN cut THEN translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
+       CASE WHEN cut THEN regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path
+FROM (SELECT page_id, coalesce(contains(url, '://'), false) AS cut, substr(url, strpos(url, '://') + 3) AS rest FROM pages)
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_url_filter": f"""
+WITH u AS ({_URL}), r(rule, rhost, rpath, verdict) AS (VALUES {", ".join(f"('{r}', '{r.partition('/')[0]}', '/{r.partition('/')[2]}', '{v}')" for r, v in URL_RULES)})
+SELECT u.page_id, u.host, u.path, arg_max(r.rule, length(r.rule)) AS rule, coalesce(arg_max(r.verdict, length(r.rule)), 'allow') AS verdict
+FROM u LEFT JOIN r ON ends_with('.' || u.host, '.' || r.rhost) AND starts_with(u.path, r.rpath)
+GROUP BY ALL
+""",
+}

@@ -4,10 +4,26 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once for a context, so that it need not be installed there."""
+    context = spark.sparkContext
+    if getattr(context, "_lexloom_shipped", False):
+        return
+    top = Path(__file__).resolve().parents[1]
+    path = Path(tempfile.mkdtemp(prefix="lexloom-")) / "lexloom.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for p in sorted(top.rglob("*.py")):
+            z.write(p, p.relative_to(top.parent))
+    context.addPyFile(str(path))
+    context._lexloom_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; a local one only where that is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
