@@ -8,24 +8,30 @@ from pyspark.sql import functions as F
 
 #: At most so many keys can each hold more than one part in HEAVY of all rows.
 HEAVY = 500
+#: A table of at most so many rows is broadcast whole.
+SMALL = 100_000
 
 
-def lookup(rows: DataFrame, keys: list[str], table: DataFrame, count: str, total: int) -> DataFrame:
+def lookup(rows: DataFrame, keys: list[str], table: DataFrame, count: str, total: int, size: int | None = None) -> DataFrame:
     """Left join of ``rows`` with ``table``, which has one row per key.
 
     ``table`` says in column ``count`` how many rows have the key.  Keys with
     more than ``total / HEAVY`` rows are joined by broadcast (there can be no
     more than ``HEAVY`` of them, at any size), the others by a shuffle in which
-    no key is large.  The column ``count`` isn't returned.
+    no key is large.  Where the table's ``size`` in rows is known and within
+    ``SMALL``, all of it is broadcast.  The column ``count`` isn't returned.
     """
+    if size is not None and size <= SMALL:
+        return rows.join(F.broadcast(table.drop(count)), keys, "left").select(*rows.columns, *[c for c in table.columns if c not in (*keys, count)])
     bound = max(1, total // HEAVY)
     heavy = F.broadcast(table.where(F.col(count) > bound).drop(count).withColumn("_hit", F.lit(True)))
     light = table.where(F.col(count) <= bound).drop(count)
     values = [c for c in light.columns if c not in keys]
     first = rows.join(heavy, keys, "left")
     salted = [F.when(F.col("_hit"), F.lit(None)).otherwise(F.col(k)).alias(f"_k{i}") for i, k in enumerate(keys)]
-    # A row that has its match gets no key for the second join, and is dealt out by a salt.
-    second = first.select("*", *salted).withColumn("_salt", F.when(F.col("_hit"), F.xxhash64(F.rand(7)) % 997).otherwise(0))
+    # A row that has its match gets no key for the second join, and is dealt out by a
+    # salt; that is a hash of the row, so that a repeated task deals alike.
+    second = first.select("*", *salted).withColumn("_salt", F.when(F.col("_hit"), 1 + F.pmod(F.xxhash64(*rows.columns), F.lit(996))).otherwise(0))
     right = light.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *[F.col(v).alias(f"_r_{v}") for v in values], F.lit(0).cast("bigint").alias("_salt"))
     on = [*(f"_k{i}" for i in range(len(keys))), "_salt"]
     out = second.join(right, on, "left")
