@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, mixing, near_dup, quality, toxicity, urlfilter, warc
+from . import decontaminate, langid, mixing, near_dup, quality, tokenbin, toxicity, urlfilter, warc
 from .scratch import Scratch, ship
 
 URL_RULES = [
@@ -60,6 +60,19 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def token_index(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Writes the token files, reads them back and removes them once the index is kept."""
+    with Scratch(spark) as scratch:
+        path = scratch.new_path("tokens")
+        tokenbin.write(docs, path)
+        rows = scratch.table(tokenbin.read(spark, path), "rows")
+        return scratch.keep(tokenbin.index(rows))
+
+
+def op9_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_index(spark, _table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -73,6 +86,7 @@ QUERIES = {
     "op6_decontamination": op6_decontamination,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_token_binary": op9_token_binary,
     "op10_toxicity": op10_toxicity,
 }
 
