@@ -8,9 +8,10 @@ the same diagonal are compared, and a document is contaminated by an item if
 some stretch of ``window`` words (the whole item, if it is shorter) agrees in
 ``percent`` of its words.
 
-Documents are read once and not shuffled: where the table of benchmark windows
-is within ``broadcast_rows``, it is broadcast; a larger one is joined by a
-shuffle.  Only verified pairs leave the scan.
+Documents are not shuffled: where the table of benchmark windows is within
+``broadcast_rows``, it is broadcast; a larger one is joined by a shuffle.  Only
+hits leave the scan; the words of documents that have hits are then read again
+for the comparison, all hits of a document at once.
 
 Defined results: null and empty texts and documents or items of fewer than 10
 words are in no pair.  Repeated rows of a document or item give one pair.  Rows
@@ -23,65 +24,89 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .scratch import Scratch
+
 WINDOW, PERCENT, SPAN = 13, 80, 10
 #: Starts of the pairs of adjacent words that each mask looks at; all lie within SPAN.
 MASKS = ((0, 3, 6), (0, 4, 7), (0, 2, 8))
-#: A table of at most so many benchmark windows (about 0.5 kB each) is broadcast.
+#: A table of at most so many benchmark windows, or of so many documents with hits, is broadcast.
 BROADCAST_ROWS = 100_000
 
 
+def _words(text: str) -> Column:
+    """Hashes of a text's words."""
+    return F.transform(F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), ""), lambda w: F.xxhash64(w))
+
+
 def _hashed(df: DataFrame, key: str, name: str) -> DataFrame:
     """``key`` and the array ``name`` of the hashes of the text's words."""
-    words = F.array_remove(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"), "")
-    rows = df.select(F.col(key).cast("bigint").alias(key), words.alias("w"))
-    return rows.select(key, F.transform("w", lambda w: F.xxhash64(w)).alias(name))
+    return df.select(F.col(key).cast("bigint").alias(key), _words("text").alias(name))
 
 
-def _windows(df: DataFrame, name: str) -> DataFrame:
-    """Adds ``at`` and ``seed``: the hash of every mask at every place; ``at`` counts places mask by mask."""
+def _windows(df: DataFrame, key: str, name: str) -> DataFrame:
+    """``key, mask, place, seed``: the hash of every mask at every place of the array ``name``.
+
+    The array itself isn't carried along, so that a place takes a few bytes.
+    """
     n = F.size(name)
     pairs = F.when(n >= SPAN, F.transform(F.sequence(F.lit(0), n - 2), lambda i: F.xxhash64(F.get(name, i), F.get(name, i + 1))))
-    df = df.select("*", pairs.alias("_p"))
-    places = F.sequence(F.lit(0), F.size(name) - SPAN)
+    df = df.select(key, (n - SPAN + 1).alias("_n"), pairs.alias("_p"))
+    places = F.sequence(F.lit(0), F.col("_n") - 1)
 
     def seeds(k: int) -> Column:
         return F.transform(places, lambda i: F.xxhash64(F.lit(k), *[F.get("_p", i + o) for o in MASKS[k]]))
 
     # The outer form: a plain one would add a filter that repeats these expressions inside each other.
     every = F.when(F.col("_p").isNotNull(), F.concat(*[seeds(k) for k in range(len(MASKS))]))
-    df = df.select("*", every.alias("_s")).drop("_p")
-    return df.select(*[c for c in df.columns if c != "_s"], F.posexplode_outer("_s").alias("at", "seed"))
+    df = df.select(key, "_n", F.posexplode_outer(every).alias("_at", "seed"))
+    return df.select(key, F.floor(F.col("_at") / F.col("_n")).cast("int").alias("mask"), (F.col("_at") % F.col("_n")).alias("place"), "seed")
 
 
-def _place(at: Column, name: str) -> tuple[Column, Column]:
-    """Mask and word position that a number of :func:`_windows` stands for."""
-    n = F.size(name) - SPAN + 1
-    return F.floor(at / n).cast("int"), (at % n).cast("int")
+def _best(h: Column, ih: Column, start: Column, window: int) -> Column:
+    """The most equal words in a stretch, with the item laid on the document at ``start``."""
+    n = F.size(ih)
+    same = F.transform(F.sequence(F.lit(0), n - 1), lambda j: F.coalesce((F.get(h, start + j) == F.get(ih, j)).cast("int"), F.lit(0)))
+    # Running sums: a stretch's matches are the difference of two of them.
+    sums = F.aggregate(same, F.array(F.lit(0)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)))
+    width = F.least(F.lit(window), n)
+    return F.aggregate(F.array(sums), F.lit(0), lambda a, c: F.array_max(F.transform(F.sequence(width, n), lambda e: F.get(c, e) - F.get(c, e - width))))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, percent: int = PERCENT, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """One row ``doc_id, item_id, matched, position`` for every contaminated document and item.
 
     ``matched`` is the greatest number of equal words in a stretch, ``position``
-    the word of the document at which the first such stretch's item would begin.
+    the word of the document on which the item's first word then lies.
     """
-    items = _hashed(benchmark.where(F.col("item_id").isNotNull()).dropDuplicates(["item_id", "text"]), "item_id", "ih")
-    items = _windows(items, "ih")
-    mask, ipos = _place(F.col("at"), "ih")
-    items = items.select("item_id", "ih", mask.alias("mask"), ipos.alias("ipos"), "seed")
-    if items.count() <= broadcast_rows:
-        items = F.broadcast(items)
-    rows = _windows(_hashed(docs.where(F.col("doc_id").isNotNull()), "doc_id", "h"), "h")
-    hits = rows.join(items, "seed").withColumn("pos", _place(F.col("at"), "h")[1])
-    # Of a run of hits on one diagonal only the first needs a look.
-    offsets = F.element_at(F.array(*[F.array(*[F.lit(o + d) for o in m for d in (0, 1)]) for m in MASKS]), F.col("mask") + 1)
-    before = F.forall(offsets, lambda o: F.coalesce(F.get("h", F.col("pos") - 1 + o) == F.get("ih", F.col("ipos") - 1 + o), F.lit(False)))
-    hits = hits.where((F.col("ipos") == 0) | (F.col("pos") == 0) | ~before)
-    n = F.size("ih")
-    same = F.transform(F.sequence(F.lit(0), n - 1), lambda j: F.coalesce((F.get("h", F.col("pos") - F.col("ipos") + j) == F.get("ih", j)).cast("int"), F.lit(0)))
-    hits = hits.select("doc_id", "item_id", (F.col("pos") - F.col("ipos")).alias("position"), F.least(F.lit(window), n).alias("width"), same.alias("same"))
-    width = F.col("width")
-    sums = F.transform(F.sequence(F.lit(0), F.size("same") - width), lambda s: F.aggregate(F.slice("same", s + 1, width), F.lit(0), lambda a, x: a + x))
-    hits = hits.select("doc_id", "item_id", "position", "width", F.array_max(sums).alias("matched"))
-    hits = hits.where(F.col("matched") * 100 >= percent * F.col("width"))
-    return hits.groupBy("doc_id", "item_id").agg(F.max("matched").alias("matched"), F.min("position").alias("position"))
+    with Scratch(docs.sparkSession) as scratch:
+        known = benchmark.where(F.col("item_id").isNotNull()).dropDuplicates(["item_id", "text"])
+        items = scratch.table(_hashed(known, "item_id", "ih").where(F.size("ih") >= SPAN), "items")
+        seeds = _windows(items, "item_id", "ih").where(F.col("seed").isNotNull())
+        seeds = scratch.table(seeds.withColumnRenamed("place", "item_place"), "seeds")
+        small = seeds.count() <= broadcast_rows
+        rows = _windows(_hashed(docs.where(F.col("doc_id").isNotNull()), "doc_id", "h"), "doc_id", "h")
+        hits = rows.join(F.broadcast(seeds) if small else seeds, ["seed", "mask"])
+        hits = hits.select("doc_id", "item_id", (F.col("place") - F.col("item_place")).alias("start")).distinct()
+        by_item = hits.groupBy("doc_id", "item_id").agg(F.collect_set("start").alias("starts"))
+        by_item = by_item.join(F.broadcast(items) if small else items, "item_id")
+        hits = scratch.table(by_item.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "ih", "starts")).alias("hits")), "hits")
+        text = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+        # Documents without a hit are left out before their words are hashed again.
+        few = hits.count() <= broadcast_rows and small
+        found = text.join(F.broadcast(hits) if few else hits, "doc_id")
+        found = found.select("doc_id", "hits", _words("text").alias("h"))
+
+        def verified(hit: Column) -> Column:
+            tried = F.transform(hit["starts"], lambda s: F.struct(_best(F.col("h"), hit["ih"], s, window).alias("matched"), (-s).alias("back")))
+            return F.struct(hit["item_id"].alias("item_id"), F.least(F.lit(window), F.size(hit["ih"])).alias("width"), F.array_max(tried).alias("best"))
+
+        found = found.select("doc_id", F.explode_outer(F.transform("hits", verified)).alias("x")).select("doc_id", "x.*")
+        found = found.where(F.col("best.matched") * 100 >= percent * F.col("width"))
+        found = found.select("doc_id", "item_id", F.col("best.matched").alias("matched"), (-F.col("best.back")).alias("position"))
+        return scratch.keep(found.groupBy("doc_id", "item_id").agg(F.max(F.struct("matched", "position")).alias("x")).select("doc_id", "item_id", "x.*"))
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` that no item contaminates; rows with a null ``doc_id`` stay."""
+    bad = contaminated(docs, benchmark, **options).select("doc_id").distinct()
+    return docs.join(F.broadcast(bad) if bad.count() <= BROADCAST_ROWS else bad, "doc_id", "left_anti")
