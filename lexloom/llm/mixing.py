@@ -171,32 +171,60 @@ def _rules(rows: DataFrame, capacity: dict[tuple, int], taken: dict[tuple, int],
     return rules
 
 
+def _membership(members: str | None) -> Column:
+    """A row's membership pattern as text."""
+    pattern = F.array(F.col("source").cast("string")) if members is None else F.coalesce(F.array_sort(F.array_distinct(members)), F.array(F.lit(None).cast("string")))
+    return F.to_json(F.struct(pattern.alias("s")), {"ignoreNullFields": "false"})
+
+
+def _plan(sized: DataFrame, weights: Sequence[int], max_repeat: int, seed: int) -> DataFrame:
+    """A row for each pattern of ``sized (doc_id, source, size)``, where ``source`` is the pattern's text: sizes, target and rule."""
+    spark = sized.sparkSession
+    found = sized.groupBy("source").agg(F.sum("size").alias("size")).withColumn("s", F.from_json("source", "s array<string>")["s"]).collect()
+    capacity = {tuple(r["s"]): r["size"] for r in sorted(found, key=lambda r: r["source"])}
+    text = {tuple(r["s"]): r["source"] for r in found}
+    size: dict[str | None, int] = {}
+    for p, n in capacity.items():
+        for s in p:
+            size[s] = size.get(s, 0) + n
+    goal = targets(size, weights, max_repeat)
+    key = spark.createDataFrame([(text[p], i) for i, p in enumerate(capacity)], "source string, key int")
+    keyed = sized.join(F.broadcast(key), "source").where("size > 0").select("key", "doc_id", "size")
+    rules = _rules(keyed, capacity, route(capacity, goal, max_repeat), seed)
+    rows = [(text[p], p[0], size[p[0]], goal[p[0]], rules[p].passes, rules[p].below, rules[p].more) for p in capacity]
+    return spark.createDataFrame(rows, "_pattern string, _first string, source_size long, target double, _passes int, _below long, _more array<long>")
+
+
+def _times(seed: int) -> Column:
+    again = (_hash(F.col("doc_id"), seed) < F.col("_below")) | F.coalesce(F.array_contains("_more", F.col("doc_id")), F.lit(False))
+    return F.col("_passes") + again.cast("bigint")
+
+
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeat: int = MAX_REPEAT, seed: int = SEED, members: str | None = None) -> DataFrame:
     """``doc_id, source, size, source_size, target, taken`` for every row of ``docs``.
 
     ``members`` may name a column of ``docs`` with an array of sources; without
-    it each document belongs to its ``source`` alone (``source_size`` and
-    ``target`` are those of the first source of the pattern).  The driver holds
-    a row a pattern and source, and histograms of 1,024 places a pattern.
+    it each document belongs to its ``source`` alone (``source``,
+    ``source_size`` and ``target`` are those of the first source of the
+    pattern).  The driver holds a row a pattern and source, and histograms of
+    1,024 places a pattern.
+    """
+    with Scratch(docs.sparkSession) as scratch:
+        sized = scratch.table(sizes(docs.select("doc_id", _membership(members).alias("source"), "text")), "sizes")
+        plan = F.broadcast(_plan(sized, weights, max_repeat, seed))
+        out = sized.join(plan, sized["source"] == plan["_pattern"]).withColumn("taken", F.col("size") * _times(seed))
+        return scratch.keep(out.select("doc_id", F.col("_first").alias("source"), "size", "source_size", "target", "taken"))
+
+
+def materialise(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeat: int = MAX_REPEAT, seed: int = SEED, members: str | None = None) -> DataFrame:
+    """The mix itself: every row of ``docs`` as many times as it is taken; rows without a word are left out.
+
+    A row's part follows from its pattern and hash, so texts aren't shuffled.
     """
-    spark = docs.sparkSession
-    pattern = F.array("source") if members is None else F.coalesce(F.array_sort(F.array_distinct(members)), F.array(F.lit(None).cast("string")))
-    with Scratch(spark) as scratch:
-        named = docs.select("doc_id", F.to_json(F.struct(pattern.alias("s")), {"ignoreNullFields": "false"}).alias("source"), "text")
-        sized = scratch.table(sizes(named), "sizes")
-        found = sized.groupBy("source").agg(F.sum("size").alias("size")).withColumn("s", F.from_json("source", "s array<string>")["s"]).collect()
-        capacity = {tuple(r["s"]): r["size"] for r in sorted(found, key=lambda r: r["source"])}
-        text = {tuple(r["s"]): r["source"] for r in found}
-        size: dict[str | None, int] = {}
-        for p, n in capacity.items():
-            for s in p:
-                size[s] = size.get(s, 0) + n
-        goal = targets(size, weights, max_repeat)
-        key = spark.createDataFrame([(text[p], i) for i, p in enumerate(capacity)], "source string, key int")
-        keyed = sized.join(F.broadcast(key), "source").where("size > 0").select("key", "doc_id", "size")
-        rules = _rules(keyed, capacity, route(capacity, goal, max_repeat), seed)
-        plan = [(text[p], p[0], size[p[0]], goal[p[0]], rules[p].passes, rules[p].below, rules[p].more) for p in capacity]
-        plan = F.broadcast(spark.createDataFrame(plan, "source string, first string, source_size long, target double, passes int, below long, more array<long>"))
-        again = ((_hash(F.col("doc_id"), seed) < F.col("below")) | F.coalesce(F.array_contains("more", F.col("doc_id")), F.lit(False))).cast("bigint")
-        out = sized.join(plan, "source").withColumn("taken", F.col("size") * (F.col("passes") + again))
-        return scratch.keep(out.select("doc_id", F.col("first").alias("source"), "size", "source_size", "target", "taken", (F.col("passes") + again).alias("times")))
+    columns = docs.columns
+    with Scratch(docs.sparkSession) as scratch:
+        sized = scratch.table(sizes(docs.select("doc_id", _membership(members).alias("source"), "text")), "sizes")
+        plan = F.broadcast(_plan(sized, weights, max_repeat, seed))
+    worded = docs.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    out = worded.withColumn("_pattern", _membership(members)).join(plan, "_pattern").withColumn("_t", _times(seed)).where("_t > 0")
+    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_t").cast("int")))).select(*columns)

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from . import superminhash, textvec
 from .components import components
 from .scratch import Scratch
-from .skew import KeyFilter, lookup
+from .skew import SMALL, KeyFilter, lookup
 
 SHINGLE, THRESHOLD, BANDS, ROWS = 5, 75, 24, 5
 
@@ -160,3 +160,16 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, threshold: int = THRESHOL
         comp = F.when(F.col("n") > 0, F.col("comp")).otherwise(F.col("doc_id"))
         out = out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), comp).alias("component_id"))
         return scratch.keep(out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+
+
+def deduplicated(docs: DataFrame, **options) -> DataFrame:
+    """One document of each group of near-duplicates, with all its columns; of repeated rows one stays."""
+    found = near_duplicates(docs, **options)
+    gone = found.where(~F.col("kept")).select("doc_id").distinct()
+    docs = docs.join(F.broadcast(gone) if gone.count() <= SMALL else gone, "doc_id", "left_anti").select(docs.columns)
+    twice = found.where("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1").select("doc_id")
+    n = twice.count()
+    if not n:
+        return docs
+    twice = F.broadcast(twice) if n <= SMALL else twice
+    return docs.join(twice, "doc_id", "left_anti").select(docs.columns).unionByName(docs.join(twice, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id", "text"]))

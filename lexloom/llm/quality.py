@@ -76,3 +76,20 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, max_row
     model = fit(docs, labels, sample.fold(F.col("doc_id"), 5) != 0, max_rows=max_rows)
     out = score(docs, model).select("doc_id", (sample.fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score")
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def _passing(model, threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in textvec.chunks(batch["text"]):
+                part = batch.slice(a, b - a)
+                yield part.filter(pa.array(model.value.score(docstats.measure(part["text"])[1]) >= threshold))
+
+    return run
+
+
+def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, max_rows: int = sample.MAX_ROWS) -> DataFrame:
+    """The rows of ``docs`` that the classifier accepts, with all their columns."""
+    model = fit(docs, labels, sample.fold(F.col("doc_id"), 5) != 0, max_rows=max_rows)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return docs.mapInArrow(_passing(shared, threshold), docs.schema)
