@@ -224,7 +224,7 @@ def materialise(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeat: i
     columns = docs.columns
     with Scratch(docs.sparkSession) as scratch:
         sized = scratch.table(sizes(docs.select("doc_id", _membership(members).alias("source"), "text")), "sizes")
-        plan = F.broadcast(_plan(sized, weights, max_repeat, seed))
+        plan = F.broadcast(_plan(sized, weights, max_repeat, seed).select("_pattern", "_passes", "_below", "_more"))
     worded = docs.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     out = worded.withColumn("_pattern", _membership(members)).join(plan, "_pattern").withColumn("_t", _times(seed)).where("_t > 0")
     return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_t").cast("int")))).select(*columns)

@@ -120,6 +120,8 @@ def _parsed(data: bytes, at: int) -> tuple[Record, int]:
     if end < 0:
         raise Bad("headers")
     lines = data[at:end].decode("utf-8", "replace").split("\r\n")
+    if not re.fullmatch(r"WARC/1\.\d", lines[0]):
+        raise Bad("version")
     headers = {}
     for line in lines[1:]:
         name, colon, value = line.partition(":")
