@@ -1,20 +1,21 @@
 """Benchmark decontamination by spaced-seed hashing, in DataFrame functions only.
 
 Texts are lower-cased and cut into words at everything but letters and digits.
-Fixed masks look at 6 of 10 adjacent words and ignore the others, so that a
-changed word does not hide a passage.  Hashes of all masked windows of the
-benchmark are joined with those of all documents; around each hit the words on
-the same diagonal are compared, and a document is contaminated by an item if
-some stretch of ``window`` words (the whole item, if it is shorter) agrees in
-``percent`` of its words.
+Fixed masks look at two pairs of adjacent words and ignore the words between
+them, so that a changed word does not hide a passage.  Hashes of all masked
+windows of the benchmark are joined with those of all documents.  Where two of
+them or more lie on one diagonal, the words along it are compared, and a
+document is contaminated by an item if some stretch of ``window`` words (the
+whole item, if it is shorter) agrees in ``percent`` of its words.  In 13 words
+with any two of them changed, at least three masked windows stay whole.
 
 Documents are not shuffled: where the table of benchmark windows is within
 ``broadcast_rows``, it is broadcast; a larger one is joined by a shuffle.  Only
 hits leave the scan; the words of documents that have hits are then read again
 for the comparison, all hits of a document at once.
 
-Defined results: null and empty texts and documents or items of fewer than 10
-words are in no pair.  Repeated rows of a document or item give one pair.  Rows
+Defined results: null and empty texts and items of fewer than 10 words are in
+no pair.  Repeated rows of a document or item give one pair.  Rows
 with a null ``doc_id`` or ``item_id`` are in no pair.  Other columns are
 ignored.
 """
@@ -26,9 +27,9 @@ from pyspark.sql import functions as F
 
 from .scratch import Scratch
 
-WINDOW, PERCENT, SPAN = 13, 80, 10
-#: Starts of the pairs of adjacent words that each mask looks at; all lie within SPAN.
-MASKS = ((0, 3, 6), (0, 4, 7), (0, 2, 8))
+WINDOW, PERCENT, LEAST_WORDS, LEAST_HITS = 13, 80, 10, 2
+#: Starts of the pairs of adjacent words that each mask looks at.
+MASKS = ((0, 3), (0, 5))
 #: A table of at most so many benchmark windows, or of so many documents with hits, is broadcast.
 BROADCAST_ROWS = 100_000
 
@@ -48,18 +49,21 @@ def _windows(df: DataFrame, key: str, name: str) -> DataFrame:
 
     The array itself isn't carried along, so that a place takes a few bytes.
     """
-    n = F.size(name)
-    pairs = F.when(n >= SPAN, F.transform(F.sequence(F.lit(0), n - 2), lambda i: F.xxhash64(F.get(name, i), F.get(name, i + 1))))
-    df = df.select(key, (n - SPAN + 1).alias("_n"), pairs.alias("_p"))
-    places = F.sequence(F.lit(0), F.col("_n") - 1)
+    n, spans = F.col("_n"), [max(m) + 2 for m in MASKS]
+    pairs = F.when(F.size(name) > 1, F.transform(F.sequence(F.lit(0), F.size(name) - 2), lambda i: F.xxhash64(F.get(name, i), F.get(name, i + 1))))
+    df = df.select(key, F.size(name).alias("_n"), pairs.alias("_p"))
 
     def seeds(k: int) -> Column:
-        return F.transform(places, lambda i: F.xxhash64(F.lit(k), *[F.get("_p", i + o) for o in MASKS[k]]))
+        made = F.transform(F.sequence(F.lit(0), n - spans[k]), lambda i: F.xxhash64(F.lit(k), *[F.get("_p", i + o) for o in MASKS[k]]))
+        return F.when(n >= spans[k], made).otherwise(F.array().cast("array<bigint>"))
 
     # The outer form: a plain one would add a filter that repeats these expressions inside each other.
-    every = F.when(F.col("_p").isNotNull(), F.concat(*[seeds(k) for k in range(len(MASKS))]))
-    df = df.select(key, "_n", F.posexplode_outer(every).alias("_at", "seed"))
-    return df.select(key, F.floor(F.col("_at") / F.col("_n")).cast("int").alias("mask"), (F.col("_at") % F.col("_n")).alias("place"), "seed")
+    df = df.select(key, "_n", F.posexplode_outer(F.concat(*map(seeds, range(len(MASKS))))).alias("_at", "seed"))
+    starts = [F.lit(0)]
+    for span in spans[:-1]:
+        starts.append(starts[-1] + F.greatest(n - span + 1, F.lit(0)))
+    mask = sum(((F.col("_at") >= x).cast("int") for x in starts[1:]), F.lit(0))
+    return df.select(key, mask.alias("mask"), (F.col("_at") - F.element_at(F.array(*starts), mask + 1)).alias("place"), "seed")
 
 
 def _best(h: Column, ih: Column, start: Column, window: int) -> Column:
@@ -80,13 +84,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, pe
     """
     with Scratch(docs.sparkSession) as scratch:
         known = benchmark.where(F.col("item_id").isNotNull()).dropDuplicates(["item_id", "text"])
-        items = scratch.table(_hashed(known, "item_id", "ih").where(F.size("ih") >= SPAN), "items")
+        items = scratch.table(_hashed(known, "item_id", "ih").where(F.size("ih") >= LEAST_WORDS), "items")
         seeds = _windows(items, "item_id", "ih").where(F.col("seed").isNotNull())
         seeds = scratch.table(seeds.withColumnRenamed("place", "item_place"), "seeds")
         small = seeds.count() <= broadcast_rows
         rows = _windows(_hashed(docs.where(F.col("doc_id").isNotNull()), "doc_id", "h"), "doc_id", "h")
         hits = rows.join(F.broadcast(seeds) if small else seeds, ["seed", "mask"])
-        hits = hits.select("doc_id", "item_id", (F.col("place") - F.col("item_place")).alias("start")).distinct()
+        hits = hits.groupBy("doc_id", "item_id", (F.col("place") - F.col("item_place")).alias("start")).agg(F.count("*").alias("c")).where(F.col("c") >= LEAST_HITS)
         by_item = hits.groupBy("doc_id", "item_id").agg(F.collect_set("start").alias("starts"))
         by_item = by_item.join(F.broadcast(items) if small else items, "item_id")
         hits = scratch.table(by_item.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "ih", "starts")).alias("hits")), "hits")
