@@ -33,6 +33,8 @@ from .scratch import Scratch
 
 WEIGHTS, MAX_REPEAT, SEED = (5, 2, 1), 3, 17
 _STEP, _BITS = 10, 60
+#: The flow is solved on the driver, and its plan broadcast; more patterns are refused.
+MAX_PATTERNS = 20_000
 #: Documents a pattern that may fill up what the threshold leaves of its quota.
 FILL = 4
 
@@ -180,7 +182,9 @@ def _membership(members: str | None) -> Column:
 def _plan(sized: DataFrame, weights: Sequence[int], max_repeat: int, seed: int) -> DataFrame:
     """A row for each pattern of ``sized (doc_id, source, size)``, where ``source`` is the pattern's text: sizes, target and rule."""
     spark = sized.sparkSession
-    found = sized.groupBy("source").agg(F.sum("size").alias("size")).withColumn("s", F.from_json("source", "s array<string>")["s"]).collect()
+    found = sized.groupBy("source").agg(F.sum("size").alias("size")).withColumn("s", F.from_json("source", "s array<string>")["s"]).limit(MAX_PATTERNS + 1).collect()
+    if len(found) > MAX_PATTERNS:
+        raise ValueError(f"more than {MAX_PATTERNS} membership patterns; group sources first")
     capacity = {tuple(r["s"]): r["size"] for r in sorted(found, key=lambda r: r["source"])}
     text = {tuple(r["s"]): r["source"] for r in found}
     size: dict[str | None, int] = {}
