@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,11 +40,12 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, monotonic: bool = False, max_rows: int = sample.MAX_ROWS, **options) -> gbdt.Trees:
     """Trees for ``labels.quality``, fitted on at most ``max_rows`` labelled documents."""
     chosen = sample.labelled(labels, "quality", allowed, max_rows)
-    rows = sample.with_text(docs, chosen).mapInArrow(_featured, "doc_id bigint, label int, x array<double>").toPandas()
-    rows = rows.drop_duplicates("doc_id").sort_values("doc_id")
-    x = np.array(rows["x"].tolist(), np.float64).reshape(-1, len(docstats.FEATURES))
+    rows = sample.with_text(docs, chosen).mapInArrow(_featured, "doc_id bigint, label int, x array<double>").toArrow()
+    ids, first = np.unique(rows["doc_id"].to_numpy(), return_index=True)
+    rows = rows.take(pa.array(first))
+    x = pc.list_flatten(rows["x"]).to_numpy().reshape(len(ids), len(docstats.FEATURES))
     directions = {docstats.FEATURES.index(f): -1 for f in FALLING} if monotonic else None
-    return gbdt.fit(x, rows["label"].to_numpy(np.float64), directions, **options)
+    return gbdt.fit(x, rows["label"].to_numpy().astype(np.float64), directions, **options)
 
 
 def _scored(model):

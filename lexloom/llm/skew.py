@@ -55,9 +55,9 @@ class KeyFilter:
             .select(F.explode(F.array(*at)).alias("at"))
             .groupBy((F.col("at") / 64).cast("int").alias("w"))
             .agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("v"))
-        ).toPandas()
+        ).toArrow()
         mask = np.zeros(size // 64, np.int64)
-        mask[words["w"].to_numpy(np.int64)] = words["v"].to_numpy(np.int64)
+        mask[words["w"].to_numpy().astype(np.int64)] = words["v"].to_numpy().astype(np.int64)
         self.shared = keys.sparkSession.sparkContext.broadcast(mask)
 
     def columns(self, column: Column) -> list[Column]:

@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -141,12 +142,12 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, featu
         p0, p1 = (F.col("n0") + 0.5) / (n0 + 1), (F.col("n1") + 0.5) / (n1 + 1)
         pool = (F.col("n0") + F.col("n1") + 1) / (n0 + n1 + 2)
         stat = (F.col("n0") + 0.5) * F.log(p0 / pool) + (F.col("n1") + 0.5) * F.log(p1 / pool) + (n0 - F.col("n0") + 0.5) * F.log((1 - p0) / (1 - pool)) + (n1 - F.col("n1") + 0.5) * F.log((1 - p1) / (1 - pool))
-        best = df.where("n0 + n1 >= 3").select("at", F.log(p1 / p0).alias("r"), stat.alias("s")).orderBy(F.desc("s"), "at").limit(features).toPandas().sort_values("at")
-        at, r = best["at"].to_numpy(np.int64), best["r"].to_numpy(np.float64)
-        got = rows.mapInArrow(_occurring(at), "doc_id bigint, label int, f array<int>").toPandas().sort_values("doc_id")
-    cuts = np.concatenate(([0], np.cumsum([len(f) for f in got["f"]])))
-    cols = np.concatenate([np.asarray(f, np.int64) for f in got["f"]]) if cuts[-1] else np.zeros(0, np.int64)
-    w, b = _regression(cuts, cols, r, got["label"].to_numpy(np.float64))
+        best = df.where("n0 + n1 >= 3").select("at", F.log(p1 / p0).alias("r"), stat.alias("s")).orderBy(F.desc("s"), "at").limit(features).toArrow().sort_by("at")
+        at, r = best["at"].to_numpy().astype(np.int64), best["r"].to_numpy()
+        got = rows.mapInArrow(_occurring(at), "doc_id bigint, label int, f array<int>").toArrow().sort_by("doc_id")
+    cuts = np.concatenate(([0], np.cumsum(pc.list_value_length(got["f"]).to_numpy())))
+    cols = pc.list_flatten(got["f"]).to_numpy().astype(np.int64)
+    w, b = _regression(cuts, cols, r, got["label"].to_numpy().astype(np.float64))
     weight[at] = w * r
     return Linear(weight, b)
 
