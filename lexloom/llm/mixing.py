@@ -49,7 +49,7 @@ def _sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def sizes(docs: DataFrame) -> DataFrame:
     """``doc_id, source, size`` in words for every row of ``docs``."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "source", "text")
-    return rows.mapInArrow(_sized, "doc_id bigint, source string, size bigint")
+    return rows.mapInArrow(textvec.tidy(_sized), "doc_id bigint, source string, size bigint")
 
 
 def targets(size: dict[str | None, int], weights: Sequence[int] = WEIGHTS, max_repeat: int = MAX_REPEAT) -> dict[str | None, float]:

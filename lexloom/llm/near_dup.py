@@ -132,7 +132,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, threshold: int = THRESHOL
     spark = docs.sparkSession
     with Scratch(spark) as scratch:
         docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-        profile = scratch.table(docs.mapInArrow(_profile(k, bands, rows), "doc_id bigint, n bigint, h1 bigint, h2 bigint, keys array<bigint>"), "profile")
+        profile = scratch.table(docs.mapInArrow(textvec.tidy(_profile(k, bands, rows)), "doc_id bigint, n bigint, h1 bigint, h2 bigint, keys array<bigint>"), "profile")
         total = max(1, profile.count())
         known = profile.where("n > 0 and doc_id is not null")
         groups = scratch.table(known.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("c"), F.any_value("keys").alias("keys")), "groups")
@@ -143,7 +143,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, threshold: int = THRESHOL
         ids = scratch.table(spots.select("rep").distinct(), "candidates")
         found = KeyFilter(ids, "rep", ids.count())
         sets = docs.select("doc_id", "text", *found.columns(F.col("doc_id"))).where("doc_id is not null")
-        sets = sets.mapInArrow(_sets(k, found.shared), "doc_id bigint, sh array<bigint>")
+        sets = sets.mapInArrow(textvec.tidy(_sets(k, found.shared)), "doc_id bigint, sh array<bigint>")
         sets = scratch.table(sets.join(ids, sets["doc_id"] == ids["rep"], "left_semi"), "sets")
         links = _verified(star, sets, threshold, scratch)
         first = scratch.table(components(links, scratch), "components")

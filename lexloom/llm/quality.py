@@ -40,7 +40,7 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, monotonic: bool = False, max_rows: int = sample.MAX_ROWS, **options) -> gbdt.Trees:
     """Trees for ``labels.quality``, fitted on at most ``max_rows`` labelled documents."""
     chosen = sample.labelled(labels, "quality", allowed, max_rows)
-    rows = sample.with_text(docs, chosen).mapInArrow(_featured, "doc_id bigint, label int, x array<double>").toArrow()
+    rows = sample.with_text(docs, chosen).mapInArrow(textvec.tidy(_featured), "doc_id bigint, label int, x array<double>").toArrow()
     ids, first = np.unique(rows["doc_id"].to_numpy(), return_index=True)
     rows = rows.take(pa.array(first))
     x = pc.list_flatten(rows["x"]).to_numpy().reshape(len(ids), len(docstats.FEATURES))
@@ -63,7 +63,7 @@ def score(docs: DataFrame, model: gbdt.Trees) -> DataFrame:
     """``doc_id``, the counts of :data:`docstats.BASE` and ``score`` for every row of ``docs``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     counts = ", ".join(f"{k} bigint" for k in docstats.BASE)
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(_scored(shared), f"doc_id bigint, {counts}, score double")
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(textvec.tidy(_scored(shared)), f"doc_id bigint, {counts}, score double")
 
 
 def rules(docs: DataFrame, labels: DataFrame, min_words: int = 20, max_repeat: int = 30, threshold: float = 0.5, max_rows: int = sample.MAX_ROWS) -> DataFrame:
@@ -94,4 +94,4 @@ def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, max_row
     """The rows of ``docs`` that the classifier accepts, with all their columns."""
     model = fit(docs, labels, sample.fold(F.col("doc_id"), 5) != 0, max_rows=max_rows)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.mapInArrow(_passing(shared, threshold), docs.schema)
+    return docs.mapInArrow(textvec.tidy(_passing(shared, threshold)), docs.schema)

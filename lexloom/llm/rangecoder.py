@@ -121,14 +121,14 @@ def _squeeze(low, size, at) -> tuple[np.ndarray, np.ndarray]:
 def _encode_lanes(seqs: list[np.ndarray], distinct: np.ndarray) -> list[bytes]:
     lengths = np.array([len(s) for s in seqs])
     n = len(seqs)
-    grid = np.zeros((lengths.max(initial=0), n), np.int64)
+    grid = np.zeros((lengths.max(initial=0), n), np.int16)  # numbers lie below BLOCK
     for i, s in enumerate(seqs):
         grid[: len(s), i] = s
     model = _Model(distinct)
     low, size = np.zeros(n, np.uint64), np.full(n, np.uint64(0xFFFFFFFFFFFFFFFF))
     words, count = np.zeros((n, len(grid) + 2), np.uint32), np.zeros(n, np.int64)
     for step, m in enumerate(_active(lengths)):
-        s = grid[step, :m]
+        s = grid[step, :m].astype(np.int64)
         seen = model.predict(m)
         cum, freq = model.below(m, s)
         total = model.total[:m].copy()
@@ -159,7 +159,7 @@ def _decode_lanes(payloads: list[bytes], lengths: np.ndarray, distinct: np.ndarr
     model = _Model(distinct)
     low, size = np.zeros(n, np.uint64), np.full(n, np.uint64(0xFFFFFFFFFFFFFFFF))
     code, count = (words[:, 0] << _U32) | words[:, 1], np.full(n, 2)
-    grid = np.zeros((lengths.max(initial=0), n), np.int64)
+    grid = np.zeros((lengths.max(initial=0), n), np.int16)
     width = words.shape[1] - 1
     for step, m in enumerate(_active(lengths)):
         seen = model.predict(m)
@@ -198,7 +198,7 @@ def encode(ids: np.ndarray) -> bytes:
     out = []
     for a in range(0, len(blocks), LANES):
         part = blocks[a : a + LANES]
-        coded = [np.unique(b, return_inverse=True) for b in part]
+        coded = [(names, at.astype(np.int16)) for names, at in (np.unique(b, return_inverse=True) for b in part)]
         payloads = _encode_lanes([c[1] for c in coded], np.array([len(c[0]) for c in coded]))
         for b, (names, _), payload in zip(part, coded, payloads, strict=True):
             listed = zlib.compress(np.diff(names, prepend=names[:1]).astype("<u2" if int(names[-1]) < 1 << 16 else "<u4").tobytes(), 6)

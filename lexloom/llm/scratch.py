@@ -10,8 +10,17 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 
+BATCH_ROWS = 1_000
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once for a context, so that it need not be installed there."""
+    """Send this package to the executors, once for a context, so that it need not be installed there.
+
+    Also holds the session's Arrow batches to ``BATCH_ROWS`` rows: whole texts
+    are long, and a batch is in memory on both sides.
+    """
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     context = spark.sparkContext
     if getattr(context, "_lexloom_shipped", False):
         return

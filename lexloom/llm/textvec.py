@@ -11,14 +11,16 @@ chunk of documents and not the size of a partition.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 _PIECE = 1 << 17
 _BASE = 0x9E3779B97F4A7C15 | 5
 _MASK = (1 << 64) - 1
@@ -63,6 +65,27 @@ def chunks(column: pa.Array | pa.ChunkedArray, size: int = CHUNK_BYTES) -> Itera
         yield start, len(lengths)
 
 
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A task's function that gives freed memory back to the system at its end.
+
+    Workers live on from task to task, and their allocators keep what numpy and
+    Arrow have freed; several idle workers would hold an executor's memory.
+    """
+
+    @functools.wraps(run)
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):
+                pass
+
+    return tidied
+
+
 class Texts:
     """The bytes of some documents, with their words, lines and hashes."""
 

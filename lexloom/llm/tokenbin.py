@@ -198,7 +198,7 @@ def _segments(spec, end_id: int, segment: int):
             return pa.RecordBatch.from_arrays([pa.array([made], pa.binary())], ["value"])
 
         for batch in batches:
-            for a, b in textvec.chunks(batch["text"], 1 << 21):
+            for a, b in textvec.chunks(batch["text"], 1 << 20):
                 flat, cuts = make.encode(batch["text"].slice(a, b - a))
                 doc_ids += batch["doc_id"].slice(a, b - a).to_pylist()
                 lengths.append(np.diff(cuts) + 1)
@@ -224,7 +224,7 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int
         spec = docs.sparkSession.sparkContext.broadcast(f.read())
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    made = rows.mapInArrow(_segments(spec, end_id, segment), "value binary").select(F.col("value").cast("string").alias("value"))
+    made = rows.mapInArrow(textvec.tidy(_segments(spec, end_id, segment)), "value binary").select(F.col("value").cast("string").alias("value"))
     made.write.option("lineSep", END.decode("latin-1")).option("encoding", "ISO-8859-1").option("maxRecordsPerFile", file_segments).text(path)
 
 
@@ -242,7 +242,7 @@ def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read(spark: SparkSession, path: str) -> DataFrame:
     """``part, number, doc_id, offset, n_tokens, ids_crc32`` of every document, decoded from the files under ``path``."""
     files = spark.read.format("binaryFile").load(path).select("content")
-    return files.mapInArrow(_unpacked, "part bigint, number bigint, doc_id bigint, offset bigint, n_tokens bigint, ids_crc32 bigint")
+    return files.mapInArrow(textvec.tidy(_unpacked), "part bigint, number bigint, doc_id bigint, offset bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def index(rows: DataFrame) -> DataFrame:

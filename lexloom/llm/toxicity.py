@@ -138,13 +138,13 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, featu
             share = (n1 + 0.5) / (n0 + n1 + 1)
             return Linear(weight, float(np.log(share / (1 - share))))
         # A bounded table: a bucket has one row a task.
-        df = rows.coalesce(8).mapInArrow(_frequencies, "at bigint, n0 int, n1 int").groupBy("at").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+        df = rows.coalesce(8).mapInArrow(textvec.tidy(_frequencies), "at bigint, n0 int, n1 int").groupBy("at").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
         p0, p1 = (F.col("n0") + 0.5) / (n0 + 1), (F.col("n1") + 0.5) / (n1 + 1)
         pool = (F.col("n0") + F.col("n1") + 1) / (n0 + n1 + 2)
         stat = (F.col("n0") + 0.5) * F.log(p0 / pool) + (F.col("n1") + 0.5) * F.log(p1 / pool) + (n0 - F.col("n0") + 0.5) * F.log((1 - p0) / (1 - pool)) + (n1 - F.col("n1") + 0.5) * F.log((1 - p1) / (1 - pool))
         best = df.where("n0 + n1 >= 3").select("at", F.log(p1 / p0).alias("r"), stat.alias("s")).orderBy(F.desc("s"), "at").limit(features).toArrow().sort_by("at")
         at, r = best["at"].to_numpy().astype(np.int64), best["r"].to_numpy()
-        got = rows.mapInArrow(_occurring(at), "doc_id bigint, label int, f array<int>").toArrow().sort_by("doc_id")
+        got = rows.mapInArrow(textvec.tidy(_occurring(at)), "doc_id bigint, label int, f array<int>").toArrow().sort_by("doc_id")
     cuts = np.concatenate(([0], np.cumsum(pc.list_value_length(got["f"]).to_numpy())))
     cols = pc.list_flatten(got["f"]).to_numpy().astype(np.int64)
     w, b = _regression(cuts, cols, r, got["label"].to_numpy().astype(np.float64))
@@ -173,7 +173,7 @@ def _scored(model):
 def score(docs: DataFrame, model: Linear) -> DataFrame:
     """``doc_id, score`` for every row of ``docs``, from its whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(_scored(shared), "doc_id bigint, score double")
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(textvec.tidy(_scored(shared)), "doc_id bigint, score double")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, max_rows: int = sample.MAX_ROWS) -> DataFrame:
