@@ -7,7 +7,11 @@ before (convex costs 0, 1, 2, ...), so that repetition is spread as evenly as
 the quotas allow.  What a pattern gives is then taken as whole passes over all
 of its documents and one pass over those whose seeded hash lies below a
 threshold; thresholds are found by refining histograms of the hash, ten bits at
-a time, whose size depends on the number of patterns only.
+a time, whose size depends on the number of patterns only.  The document at the
+threshold is larger than what is left of the quota; it is passed over, and the
+search goes on behind it among documents of at most half of what is left, so
+that every search halves the rest.  At last the largest document that fits is
+taken, and no further one fits.
 
 Targets: sources in code point order (null last) weigh ``weights``, repeating,
 and share all tokens; a target stops at ``max_repeat`` times the source's size
@@ -35,8 +39,8 @@ WEIGHTS, MAX_REPEAT, SEED = (5, 2, 1), 3, 17
 _STEP, _BITS = 10, 60
 #: The flow is solved on the driver, and its plan broadcast; more patterns are refused.
 MAX_PATTERNS = 20_000
-#: Documents a pattern that may fill up what the threshold leaves of its quota.
-FILL = 4
+#: A list of at most so many documents taken behind a threshold is broadcast.
+BROADCAST_ROWS = 100_000
 
 
 def _sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,11 +119,11 @@ def route(capacity: dict[tuple, int], quota: dict[str | None, float], max_repeat
 
 @dataclass
 class Rule:
-    """Of a pattern: whole passes, the hash below which one more pass is taken, and single documents taken once more."""
+    """Of a pattern: whole passes, the hash below which one more pass is taken, and what is then left of the quota."""
 
     passes: int
     below: int
-    more: list[int]
+    rest: int
 
 
 def _hash(doc_id: Column, seed: int) -> Column:
@@ -156,31 +160,71 @@ def _rules(rows: DataFrame, capacity: dict[tuple, int], taken: dict[tuple, int],
                 below[i] = (b + 1) << (_BITS - bits)
             else:
                 del prefix[i]
-    # What is left is less than the next document: other documents that fit fill it up, the largest first.
-    more: dict[int, list[int]] = {i: [] for i in rest}
-    for _ in range(FILL):
-        state = [(i, below[i], rest[i], more[i]) for i in rest if rest[i]]
-        if not state:
-            break
-        open_ = rows.join(F.broadcast(spark.createDataFrame(state, "key int, below long, rest long, more array<long>")), "key")
-        fits = (_hash(F.col("doc_id"), seed) >= F.col("below")) & (F.col("size") <= F.col("rest")) & ~F.array_contains("more", F.col("doc_id"))
-        best = open_.where(fits & F.col("doc_id").isNotNull()).groupBy("key").agg(F.max(F.struct("size", "doc_id")).alias("x")).collect()
-        for r in best:
-            rest[r["key"]] -= r["x"]["size"]
-            more[r["key"]].append(r["x"]["doc_id"])
     for i, p in enumerate(patterns):
-        rules[p] = Rule(passes[i], below[i], more[i])
+        rules[p] = Rule(passes[i], below[i], rest[i])
     return rules
 
 
+def _filled(rows: DataFrame, rules: Sequence[Rule], seed: int, scratch: Scratch) -> DataFrame | None:
+    """``key, doc_id`` of the documents behind the thresholds that fill what is left of the quotas of patterns ``0, 1, ...``.
+
+    A pattern takes fewer of them than the document at its threshold has words.
+    """
+    spark = rows.sparkSession
+    rest = {i: r.rest for i, r in enumerate(rules) if r.rest}
+    if not rest:
+        return None
+    state = F.broadcast(spark.createDataFrame([(i, rules[i].below) for i in rest], "key int, below long"))
+    behind = rows.withColumn("u", _hash(F.col("doc_id"), seed)).join(state, "key").where(F.col("u") >= F.col("below"))
+    units = scratch.table(behind.groupBy("key", "doc_id", "u").agg(F.sum("size").alias("size")), "units")
+    # Of every search: where it begins, the largest size it takes, and the bits and prefix of the histogram.
+    start, limit = {i: rules[i].below for i in rest}, {i: n // 2 for i, n in rest.items()}
+    place, taken, done = dict.fromkeys(rest, (0, 0)), [], {}
+    while place:
+        state = F.broadcast(spark.createDataFrame([(i, start[i], limit[i], _BITS - bits, prefix) for i, (bits, prefix) in place.items()], "key int, start long, most long, shift int, prefix long"))
+        hits = units.join(state, "key").where((F.col("u") >= F.col("start")) & (F.col("size") <= F.col("most")) & (F.expr("shiftright(u, shift)") == F.col("prefix")))
+        found = hits.groupBy("key", F.expr(f"shiftright(u, shift - {_STEP})").alias("b")).agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
+        by: dict[int, list] = {}
+        for r in found:
+            by.setdefault(r["key"], []).append((r["b"], r["size"], r["n"]))
+        for i in list(place):
+            bits = place[i][0] + _STEP
+            for b, size, n in sorted(by.get(i, [])):
+                if size <= rest[i]:
+                    rest[i] -= size
+                    continue
+                if n > 1 and bits < _BITS:
+                    place[i] = bits, b
+                    break
+                # The search stops at a document that is larger than the rest: the next one begins there.
+                stop = max(start[i], b << (_BITS - bits))
+                taken.append((i, start[i], stop, limit[i]))
+                start[i], limit[i], place[i] = stop, rest[i] // 2, (0, 0)
+                break
+            else:
+                # All documents of at most the limit are taken; of larger ones, no two fit.
+                taken.append((i, start[i], 1 << _BITS, limit[i]))
+                done[i] = (start[i], limit[i], rest[i])
+                del place[i]
+    last = F.broadcast(spark.createDataFrame([(i, *x) for i, x in done.items()], "key int, start long, most long, rest long"))
+    fits = units.join(last, "key").where((F.col("u") >= F.col("start")) & (F.col("size") > F.col("most")) & (F.col("size") <= F.col("rest")))
+    largest = fits.groupBy("key").agg(F.max(F.struct("size", "u", "doc_id")).alias("x")).select("key", "x.doc_id")
+    spans = F.broadcast(spark.createDataFrame(taken, "key int, start long, stop long, most long"))
+    inside = units.join(spans, "key").where((F.col("u") >= F.col("start")) & (F.col("u") < F.col("stop")) & (F.col("size") <= F.col("most")))
+    return scratch.table(inside.select("key", "doc_id").unionByName(largest), "filled")
+
+
 def _membership(members: str | None) -> Column:
     """A row's membership pattern as text."""
     pattern = F.array(F.col("source").cast("string")) if members is None else F.coalesce(F.array_sort(F.array_distinct(members)), F.array(F.lit(None).cast("string")))
     return F.to_json(F.struct(pattern.alias("s")), {"ignoreNullFields": "false"})
 
 
-def _plan(sized: DataFrame, weights: Sequence[int], max_repeat: int, seed: int) -> DataFrame:
-    """A row for each pattern of ``sized (doc_id, source, size)``, where ``source`` is the pattern's text: sizes, target and rule."""
+def _plan(sized: DataFrame, weights: Sequence[int], max_repeat: int, seed: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """A row for each pattern of ``sized (doc_id, source, size)``, where ``source`` is the pattern's text: sizes, target and rule.
+
+    Also a row ``_pattern, _id`` for each document that is taken once more behind its pattern's threshold.
+    """
     spark = sized.sparkSession
     found = sized.groupBy("source").agg(F.sum("size").alias("size")).withColumn("s", F.from_json("source", "s array<string>")["s"]).limit(MAX_PATTERNS + 1).collect()
     if len(found) > MAX_PATTERNS:
@@ -195,13 +239,22 @@ def _plan(sized: DataFrame, weights: Sequence[int], max_repeat: int, seed: int)
     key = spark.createDataFrame([(text[p], i) for i, p in enumerate(capacity)], "source string, key int")
     keyed = sized.join(F.broadcast(key), "source").where("size > 0").select("key", "doc_id", "size")
     rules = _rules(keyed, capacity, route(capacity, goal, max_repeat), seed)
-    rows = [(text[p], p[0], size[p[0]], goal[p[0]], rules[p].passes, rules[p].below, rules[p].more) for p in capacity]
-    return spark.createDataFrame(rows, "_pattern string, _first string, source_size long, target double, _passes int, _below long, _more array<long>")
+    rows = [(text[p], p[0], size[p[0]], goal[p[0]], rules[p].passes, rules[p].below) for p in capacity]
+    plan = spark.createDataFrame(rows, "_pattern string, _first string, source_size long, target double, _passes int, _below long")
+    filled = _filled(keyed, list(rules.values()), seed, scratch)
+    if filled is None:
+        return F.broadcast(plan), spark.createDataFrame([], "_pattern string, _id long")
+    more = filled.join(F.broadcast(key), "key").select(F.col("source").alias("_pattern"), F.col("doc_id").alias("_id"))
+    return F.broadcast(plan), F.broadcast(scratch.keep(more)) if filled.count() <= BROADCAST_ROWS else scratch.keep(more)
 
 
-def _times(seed: int) -> Column:
-    again = (_hash(F.col("doc_id"), seed) < F.col("_below")) | F.coalesce(F.array_contains("_more", F.col("doc_id")), F.lit(False))
-    return F.col("_passes") + again.cast("bigint")
+def _planned(rows: DataFrame, plan: DataFrame, more: DataFrame, seed: int) -> DataFrame:
+    """``rows`` of ``_pattern`` and ``doc_id`` with their part of the plan, and ``_t``, how many times each is taken."""
+    out = rows.join(plan, "_pattern")
+    more = more.withColumnRenamed("_pattern", "_p").withColumn("_more", F.lit(True))
+    out = out.join(more, (out["_pattern"] == more["_p"]) & out["doc_id"].cast("bigint").eqNullSafe(more["_id"]), "left")
+    again = (_hash(F.col("doc_id"), seed) < F.col("_below")) | F.coalesce("_more", F.lit(False))
+    return out.withColumn("_t", F.col("_passes") + again.cast("bigint"))
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeat: int = MAX_REPEAT, seed: int = SEED, members: str | None = None) -> DataFrame:
@@ -215,20 +268,23 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeat: int = MAX
     """
     with Scratch(docs.sparkSession) as scratch:
         sized = scratch.table(sizes(docs.select("doc_id", _membership(members).alias("source"), "text")), "sizes")
-        plan = F.broadcast(_plan(sized, weights, max_repeat, seed))
-        out = sized.join(plan, sized["source"] == plan["_pattern"]).withColumn("taken", F.col("size") * _times(seed))
+        plan, more = _plan(sized, weights, max_repeat, seed, scratch)
+        out = _planned(sized.withColumnRenamed("source", "_pattern"), plan, more, seed).withColumn("taken", F.col("size") * F.col("_t"))
         return scratch.keep(out.select("doc_id", F.col("_first").alias("source"), "size", "source_size", "target", "taken"))
 
 
 def materialise(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeat: int = MAX_REPEAT, seed: int = SEED, members: str | None = None) -> DataFrame:
     """The mix itself: every row of ``docs`` as many times as it is taken; rows without a word are left out.
 
-    A row's part follows from its pattern and hash, so texts aren't shuffled.
+    A row's part follows from its pattern, its hash and the list of documents
+    behind the thresholds, so texts aren't shuffled unless that list is longer
+    than ``BROADCAST_ROWS``.
     """
     columns = docs.columns
     with Scratch(docs.sparkSession) as scratch:
         sized = scratch.table(sizes(docs.select("doc_id", _membership(members).alias("source"), "text")), "sizes")
-        plan = F.broadcast(_plan(sized, weights, max_repeat, seed).select("_pattern", "_passes", "_below", "_more"))
+        plan, more = _plan(sized, weights, max_repeat, seed, scratch)
+        plan = plan.select("_pattern", "_passes", "_below")
     worded = docs.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    out = worded.withColumn("_pattern", _membership(members)).join(plan, "_pattern").withColumn("_t", _times(seed)).where("_t > 0")
+    out = _planned(worded.withColumn("_pattern", _membership(members)), plan, more, seed).where("_t > 0")
     return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_t").cast("int")))).select(*columns)

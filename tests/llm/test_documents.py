@@ -298,6 +298,31 @@ def test_mixing_odd(odd, empty, spark):
     assert mixing.mix(over, members="m").count() == 4
 
 
+def test_mixing_passes_over_long_documents(spark):
+    """Wherever a long document lies in the order, what is left is filled until no other document fits."""
+    rows = [(10_000 * k + i, 200, f"s{k}") for k in (0, 1) for i in range(1_000)] + [(20_000 + i, 100, "s2") for i in range(1_000)]
+    for long in range(30_000, 30_006):
+        docs = spark.createDataFrame([*rows, (long, 100_000, "s2")], "doc_id long, n int, source string").select("doc_id", F.repeat(F.lit("w "), F.col("n")).alias("text"), "source")
+        got = mixing.mix(docs).where("source = 's2'").toPandas()
+        rest = round(got.target[0]) - got.taken.sum()
+        assert 0 <= rest < got["size"][got.taken == 0].min()
+    copies = mixing.materialise(docs).where("source = 's2'").groupBy("doc_id").count().collect()
+    assert {r["doc_id"]: r["count"] for r in copies} == {i: t // n for i, t, n in zip(got.doc_id, got.taken, got["size"], strict=True) if t}
+
+
+def test_mixing_fills_sizes_of_many_scales(spark):
+    """Sizes of all scales, repeated and null ids: rows of an id are taken together, and no further id fits."""
+    rng = np.random.default_rng(5)
+    rows = [(None if i % 40 == 0 else i // 2 if i % 7 == 0 else 1_000 + i, int(2 ** rng.uniform(0, 12)), f"s{i % 4}") for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, n int, source string").select("doc_id", F.repeat(F.lit("w "), F.col("n")).alias("text"), "source")
+    got = mixing.mix(docs).toPandas()
+    for _, g in got.groupby("source"):
+        ids = g.assign(times=g.taken // g["size"]).groupby("doc_id", dropna=False).agg(size=("size", "sum"), least=("times", "min"), most=("times", "max"))
+        rest = round(g.target.iloc[0]) - g.taken.sum()
+        assert (ids.least == ids.most).all() and rest >= 0
+        assert rest < ids["size"][ids.least == ids.least.min()].min()
+
+
 def test_pipeline(spark, sf_dir):
     import corpus_pipeline
 
