@@ -4,24 +4,29 @@ Texts are lower-cased and cut into words at everything but letters and digits.
 Fixed masks look at two pairs of adjacent words and ignore the words between
 them, so that a changed word does not hide a passage.  Hashes of all masked
 windows of the benchmark are joined with those of all documents.  Where two of
-them or more lie on one diagonal, the words along it are compared, and a
-document is contaminated by an item if some stretch of ``window`` words (the
-whole item, if it is shorter) agrees in ``percent`` of its words.  In 13 words
-with any two of them changed, at least three masked windows stay whole.
+them or more (one, for items of fewer than ``window`` words) lie on one
+diagonal, the words along it are compared, and a document is contaminated by an
+item if some stretch of ``window`` words (the whole item, if it is shorter)
+agrees in ``percent`` of its words.  In 13 words with any two of them changed, at
+least three masked windows stay whole; in 10 to 12 words, at least one.  Items
+of fewer than 10 words have masks of their whole length, one for every choice
+of the words that may be changed (at 80 percent one of 5 to 9 words, none of
+fewer); documents are hashed by those of the lengths that the benchmark has.
 
 Documents are not shuffled: where the table of benchmark windows is within
 ``broadcast_rows``, it is broadcast; a larger one is joined by a shuffle.  Only
 hits leave the scan; the words of documents that have hits are then read again
 for the comparison, all hits of a document at once.
 
-Defined results: null and empty texts and items of fewer than 10 words are in
-no pair.  Repeated rows of a document or item give one pair.  Rows
+Defined results: null and empty texts are in no pair.  Repeated rows of a document or item give one pair.  Rows
 with a null ``doc_id`` or ``item_id`` are in no pair.  Other columns are
 ignored.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,6 +71,23 @@ def _windows(df: DataFrame, key: str, name: str) -> DataFrame:
     return df.select(key, mask.alias("mask"), (F.col("_at") - F.element_at(F.array(*starts), mask + 1)).alias("place"), "seed")
 
 
+def _short_masks(lengths: list[int], percent: int) -> list[tuple[int, tuple[int, ...]]]:
+    """Length and looked-at words of every mask for items of few words."""
+    return [(n, kept) for n in lengths for kept in combinations(range(n), max(1, -(-percent * n // 100)))]
+
+
+def _short_windows(df: DataFrame, key: str, name: str, masks: list[tuple[int, tuple[int, ...]]], whole: bool) -> DataFrame:
+    """Like :func:`_windows` for ``masks``; with ``whole`` only where the array is as long as the mask."""
+    n = F.size(name)
+
+    def seeds(k: int) -> Column:
+        span, kept = masks[k]
+        made = F.transform(F.sequence(F.lit(0), n - span), lambda i: F.struct(F.lit(len(MASKS) + k).alias("mask"), i.alias("place"), F.xxhash64(F.lit(len(MASKS) + k), *[F.get(name, i + o) for o in kept]).alias("seed")))
+        return F.when(n == span if whole else n >= span, made).otherwise(F.array().cast("array<struct<mask:int,place:int,seed:bigint>>"))
+
+    return df.select(key, F.explode_outer(F.concat(*map(seeds, range(len(masks))))).alias("x")).select(key, "x.*")
+
+
 def _best(h: Column, ih: Column, start: Column, window: int) -> Column:
     """The most equal words in a stretch, with the item laid on the document at ``start``."""
     n = F.size(ih)
@@ -84,13 +106,23 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, pe
     """
     with Scratch(docs.sparkSession) as scratch:
         known = benchmark.where(F.col("item_id").isNotNull()).dropDuplicates(["item_id", "text"])
-        items = scratch.table(_hashed(known, "item_id", "ih").where(F.size("ih") >= LEAST_WORDS), "items")
-        seeds = _windows(items, "item_id", "ih").where(F.col("seed").isNotNull())
+        items = scratch.table(_hashed(known, "item_id", "ih").where(F.size("ih") > 0), "items")
+        lengths = [r["n"] for r in items.where(F.size("ih") < LEAST_WORDS).select(F.size("ih").alias("n")).distinct().orderBy("n").collect()]
+        masks = _short_masks(lengths, percent)
+        n = F.size("ih")
+        seeds = _windows(items.where((n >= LEAST_WORDS) & (n >= window)), "item_id", "ih").withColumn("least", F.lit(LEAST_HITS))
+        seeds = seeds.unionByName(_windows(items.where((n >= LEAST_WORDS) & (n < window)), "item_id", "ih").withColumn("least", F.lit(1)))
+        if masks:
+            seeds = seeds.unionByName(_short_windows(items.where(n < LEAST_WORDS), "item_id", "ih", masks, True).withColumn("least", F.lit(1)))
+        seeds = seeds.where(F.col("seed").isNotNull())
         seeds = scratch.table(seeds.withColumnRenamed("place", "item_place"), "seeds")
         small = seeds.count() <= broadcast_rows
-        rows = _windows(_hashed(docs.where(F.col("doc_id").isNotNull()), "doc_id", "h"), "doc_id", "h")
+        hashed = _hashed(docs.where(F.col("doc_id").isNotNull()), "doc_id", "h")
+        rows = _windows(hashed, "doc_id", "h")
+        if masks:
+            rows = rows.unionByName(_short_windows(hashed, "doc_id", "h", masks, False))
         hits = rows.join(F.broadcast(seeds) if small else seeds, ["seed", "mask"])
-        hits = hits.groupBy("doc_id", "item_id", (F.col("place") - F.col("item_place")).alias("start")).agg(F.count("*").alias("c")).where(F.col("c") >= LEAST_HITS)
+        hits = hits.groupBy("doc_id", "item_id", (F.col("place") - F.col("item_place")).alias("start")).agg(F.count("*").alias("c"), F.min("least").alias("least")).where(F.col("c") >= F.col("least"))
         by_item = hits.groupBy("doc_id", "item_id").agg(F.collect_set("start").alias("starts"))
         by_item = by_item.join(F.broadcast(items) if small else items, "item_id")
         hits = scratch.table(by_item.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "ih", "starts")).alias("hits")), "hits")

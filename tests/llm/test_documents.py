@@ -1,6 +1,7 @@
 """Operators over documents: brute force, held-out accuracy and odd rows."""
 
 import inspect
+import itertools
 import re
 import zlib
 
@@ -138,6 +139,25 @@ def test_decontamination_tolerates_substitutions(spark, broadcast_rows):
     assert left.columns == docs.columns and {r["doc_id"] for r in left.collect()} == {3, 4, 7, 8, 9, None}
 
 
+@pytest.mark.parametrize("broadcast_rows", [0, 100_000])
+def test_decontamination_of_short_items(spark, broadcast_rows):
+    """Every choice of changed words that leaves 80 % of a short item is found, and none beyond."""
+    noise, items, docs, want = item(40, 9), [], [], {}
+    for n in range(1, 13):
+        words = [f"q{n}x{i}" for i in range(n)]
+        items.append((n, " ".join(words)))
+        for k in range(min(n, 4)):
+            for changed in itertools.combinations(range(n), k):
+                d = len(docs)
+                docs.append((d, " ".join(noise[:20] + ["zz" if i in changed else w for i, w in enumerate(words)] + noise[20:])))
+                if 100 * (n - k) >= 80 * n:
+                    want[d, n] = n - k
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.contaminated(docs, bench, broadcast_rows=broadcast_rows).collect()
+    assert {(r["doc_id"], r["item_id"]): r["matched"] for r in got} == want and {r["position"] for r in got} == {20}
+
+
 def test_decontamination_of_nothing(spark, empty, odd):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.contaminated(empty, bench).count() == 0
