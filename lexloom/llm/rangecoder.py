@@ -11,10 +11,16 @@ under a mixture of three predictions:
 
 The latter two add to the count of the number that they name a weight that
 follows how often such a prediction, at its present confidence, was right in
-this block.  All arithmetic is in integers.
+this block.  What orders 1 and 2 name is known at once; counts and weights are
+brought up to date at the steps of :data:`EPOCHS`, so that in between a number
+is found by one look into a table.
 
-Many blocks are coded side by side: one step of the loop codes one id of each
-of them in numpy arrays.
+The coder's range has 48 bits and gives off 16 at a time; all values are whole
+numbers below 2**53 held as doubles, whose quotients round down exactly.
+
+Many blocks are coded side by side in numpy arrays.  The writer knows all ids
+beforehand, so it works the predictions of all steps out at once and only walks
+the arithmetic step by step; the reader walks both.
 """
 
 from __future__ import annotations
@@ -25,82 +31,149 @@ import zlib
 import numpy as np
 
 BLOCK, LANES = 4096, 1024
-_INC, _CONF, _RATIO, _SLOTS = 24, 8, 24, 2048
-_U32, _LOW32 = np.uint64(32), np.uint64(0xFFFFFFFF)
+#: Steps before which counts and weights are brought up to date.
+EPOCHS = (0, 16, 32, 64, 128, 256, 512, 768, 1024, 1536, 2048, 2560, 3072, 3584)
+#: Counts are scaled to this total; a look-up table has a place for every ``1 << _FINE`` of it.
+_TOTAL, _FINE = 1 << 13, 2
+_PLACES = _TOTAL >> _FINE
+_LEVELS, _RATIO, _SLOTS = 8, 24, 2048
+#: Lanes whose predictions the writer works out together.
+_GROUP = 32
+_WORD, _LEAST, _WHOLE = float(1 << 16), float(1 << 32), float(1 << 48)
 _HEAD = struct.Struct("<4sIIIIII")
-MAGIC = b"LXB1"
+MAGIC = b"LXB2"
 
 
 class Damaged(ValueError):
     """A block that fails its checks."""
 
 
-class _Model:
-    """State of the mixture for some lanes; lanes with fewer ids drop out from the end.
+def _place2(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Slot of the two numbers before."""
+    return (one * 40503 + two * 30011) & (_SLOTS - 1)
+
+
+def _cumulated(counts: np.ndarray, distinct: np.ndarray, step: int) -> np.ndarray:
+    """Scaled order-0 counts below every number (lanes x width); every number of a lane keeps a share."""
+    size = np.zeros((len(counts), counts.shape[1] + 1), np.int32)
+    size[:, 1:] = (counts * (_TOTAL - distinct)[:, None].astype(np.int32)) // max(step, 1) + (np.arange(counts.shape[1]) < distinct[:, None])
+    return np.cumsum(size, 1, dtype=np.int32)
+
 
-    Tables of all lanes are flat, and a lane's part is found by its offset.  A
-    prediction is held as ``number + 1 << 4 | confidence``, its record as
-    ``right << 32 | tried``.
+def _weights(record: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """Weight of a prediction by its confidence (lanes x levels); ``record`` counts wrong and right ones of each level."""
+    record = record.reshape(-1, _LEVELS, 2)
+    wrong, right, total = record[:, :, 0], record[:, :, 1], total[:, None].astype(np.int64)
+    out = np.minimum(total * (right + 1) // (wrong + 3), total * _RATIO)
+    out[:, 0] = 0
+    return out
+
+
+def _followers(key: np.ndarray, s: np.ndarray, steps: int, n: int) -> np.ndarray:
+    """What the last follower of the same ``key`` (lane and slot) says of all steps (step-major, ``n`` lanes).
+
+    Each is ``number << 4 | confidence << 1 | right``.
     """
+    # Sorted by key and step; a key's entries then stand in the order in which they follow each other.
+    entry = np.sort((key << 24) | (np.repeat(np.arange(steps), n) << 12) | s)
+    x, k, at = entry & 0xFFF, entry >> 24, np.arange(len(entry), dtype=np.int32)
+    known = k[1:] == k[:-1]
+    hit = known & (x[1:] == x[:-1])
+    # Confidence: how many followers in a row were equal, the first one counting.
+    run = at.copy()
+    run[1:][hit] = 0
+    level = np.minimum(at - np.maximum.accumulate(run) + 1, _LEVELS - 1)
+    said = np.zeros(len(entry), np.uint16)
+    said[1:] = np.where(known, (x[:-1] << 4) | (level[:-1] << 1) | hit, 0)
+    out = np.empty(len(entry), np.uint16)
+    out[((entry >> 12) & 0xFFF) * n + (k >> 12)] = said
+    return out
+
 
-    def __init__(self, distinct: np.ndarray):
-        n, k = len(distinct), max(1, int(np.ceil(np.sqrt(distinct.max(initial=1)))))
-        self.k, rows = k, np.arange(n)
-        size = np.clip(distinct[:, None] - np.arange(k)[None, :] * k, 0, k)
-        self.high = np.zeros((n, k + 1), np.int32)
-        np.cumsum(size, 1, out=self.high[:, 1:])
-        self.low = np.minimum(np.arange(k + 1)[None, None, :], size[:, :, None]).astype(np.int32).reshape(n * k, k + 1)
-        self.high_flat, self.low_flat = self.high.reshape(-1), self.low.reshape(-1)
-        self.high_at, self.low_at = rows * (k + 1), rows * k
-        self.total = distinct.astype(np.int64)
-        self.after = (np.arange(k + 1)[None, :] > np.arange(k)[:, None]).astype(np.int32) * _INC
-        self.slots = (k * k, _SLOTS)
-        self.named = [np.zeros(n * s, np.int32) for s in self.slots]
-        self.record = [np.full(n * _CONF, (1 << 32) | 3, np.int64) for _ in self.slots]
-        self.named_at, self.record_at = [rows * s for s in self.slots], rows * _CONF
-        self.last = np.zeros((2, n), np.int64)
-
-    def predict(self, m: int) -> list[tuple]:
-        """For either order: place, named number, confidence, place of its record and weight."""
-        (one, two), total, out = self.last[:, :m], self.total[:m], []
-        for o in (0, 1):
-            slot = self.named_at[o][:m] + (one if o == 0 else (one * 40503 + two * 30011) & (_SLOTS - 1))
-            held = self.named[o].take(slot)
-            name, sure = (held >> 4).astype(np.int64) - 1, held & 15
-            at = self.record_at[:m] + sure
-            record = self.record[o].take(at)
-            right, tried = record >> 32, record & 0xFFFFFFFF
-            weight = np.minimum(total * right // (tried - right + 1), total * _RATIO)
-            weight *= name >= 0
-            out.append((slot, name, sure, weight, at, record))
-        return out
-
-    def below(self, m: int, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Order-0 count of all smaller numbers, and of the number."""
-        hi = np.maximum(s, 0) // self.k
-        at = (self.low_at[:m] + hi) * (self.k + 1) + (np.maximum(s, 0) - hi * self.k)
-        base = self.low_flat.take(at)
-        return (self.high_flat.take(self.high_at[:m] + hi) + base).astype(np.int64), (self.low_flat.take(at + 1) - base).astype(np.int64)
-
-    def find(self, m: int, t: np.ndarray) -> np.ndarray:
-        """The number whose order-0 interval holds ``t``."""
-        t = t.astype(np.int32)
-        hi = np.count_nonzero(self.high[:m, 1:] <= t[:, None], 1)
-        rest = t - self.high_flat.take(self.high_at[:m] + hi)
-        return hi * self.k + np.count_nonzero(self.low.take(self.low_at[:m] + hi, 0)[:, 1:] <= rest[:, None], 1)
-
-    def update(self, m: int, s: np.ndarray, seen: list[tuple]) -> None:
-        hi = s // self.k
-        self.high[:m] += self.after.take(hi, 0)
-        at = self.low_at[:m] + hi
-        self.low[at] = self.low.take(at, 0) + self.after.take(s - hi * self.k, 0)
-        self.total[:m] += _INC
-        for o, (slot, name, sure, _, place, record) in enumerate(seen):
-            hit = name == s
-            self.record[o][place] = record + (name >= 0) + (hit.astype(np.int64) << 32)
-            self.named[o][slot] = ((s + 1) << 4) | np.where(hit, np.minimum(sure + 1, _CONF - 1), 0)
-        self.last[1, :m] = self.last[0, :m]
-        self.last[0, :m] = s
+def _predicted(grid: np.ndarray, lengths: np.ndarray, distinct: np.ndarray, out: tuple[np.ndarray, ...]) -> None:
+    """Fills interval start, width and total of every step (step-major) for a group of lanes."""
+    steps, n = grid.shape
+    width = int(distinct.max(initial=1))
+    lane = np.tile(np.arange(n), steps)
+    s = grid.reshape(-1)
+    before = np.zeros((2, steps, n), np.int64)
+    before[0, 1:], before[1, 2:] = grid[:-1], grid[:-2]
+    one, two = before.reshape(2, -1)
+    seen = [_followers((lane << 12) | one, s, steps, n), _followers((lane << 12) | _place2(one, two), s, steps, n)]
+    live = np.arange(steps)[:, None] < lengths
+    whole = bool(live.all())
+    counts = np.zeros((n, width), np.int32)
+    records = [np.zeros((n, 2 * _LEVELS), np.int64) for _ in seen]
+    for begin, end in zip(EPOCHS, (*EPOCHS[1:], BLOCK), strict=True):
+        end = min(end, steps)
+        if begin >= end:
+            break
+        below = _cumulated(counts, distinct, begin)
+        total0 = below[:, -1]
+        part, own = slice(begin * n, end * n), lane[begin * n : end * n]
+        x = s[part]
+        at = own * (width + 1) + x
+        flat = below.reshape(-1)
+        cum = flat.take(at)
+        freq, total = flat.take(at + 1) - cum, np.tile(total0, end - begin)
+        known = slice(None) if whole else live[begin:end].reshape(-1)
+        for said, record in zip(seen, records, strict=True):
+            held = said[part].astype(np.int32)
+            w = _weights(record, total0).astype(np.int32).reshape(-1).take(own * _LEVELS + ((held >> 1) & (_LEVELS - 1)))
+            name = held >> 4
+            cum += w * (name < x)
+            freq += w * (name == x)
+            total += w
+            place = own * (2 * _LEVELS) + (held & (2 * _LEVELS - 1))
+            record += np.bincount(place[known], minlength=record.size).reshape(record.shape)
+        for field, values in zip(out, (cum, freq, total), strict=True):
+            field[begin:end] = values.reshape(end - begin, n)
+        counts += np.bincount((own * width + x)[known], minlength=n * width).reshape(n, width).astype(np.int32)
+
+
+def _encode_lanes(seqs: list[np.ndarray], distinct: np.ndarray) -> list[bytes]:
+    """Payloads of some blocks; the longest come first."""
+    lengths, n = np.array([len(s) for s in seqs]), len(seqs)
+    steps = int(lengths.max(initial=0))
+    cum, freq, total = np.zeros((steps, n), np.float32), np.ones((steps, n), np.float32), np.ones((steps, n), np.float32)
+    bits = np.zeros(n)
+    for a in range(0, n, _GROUP):
+        b = min(n, a + _GROUP)
+        grid = np.zeros((steps, b - a), np.int16)  # numbers lie below BLOCK
+        for i in range(a, b):
+            grid[: lengths[i], i - a] = seqs[i]
+        _predicted(grid, lengths[a:b], distinct[a:b], (cum[:, a:b], freq[:, a:b], total[:, a:b]))
+        bits[a:b] = np.log2(total[:, a:b] / freq[:, a:b]).sum(0)
+    # Words hold a bit of carry above their 16 until the end.
+    room = int(bits.max(initial=0) / 16) + 16
+    words, base, count = np.zeros(n * room, np.uint32), np.arange(n) * room, np.zeros(n, np.int64)
+    low, size = np.zeros(n), np.full(n, _WHOLE)
+    for step, m in enumerate(_active(lengths)):
+        lo, r = low[:m], np.floor(size[:m] / total[step, :m])
+        lo += cum[step, :m] * r
+        r *= freq[step, :m]
+        again = np.flatnonzero(r < _LEAST)
+        while len(again):
+            held = lo[again]
+            top = np.floor(held * (1 / _LEAST))
+            words[base[again] + count[again]] = top
+            count[again] += 1
+            lo[again] = (held - top * _LEAST) * _WORD
+            r[again] *= _WORD
+            again = again[r[again] < _LEAST]
+        size[:m] = r
+    last = low.astype(np.int64)
+    for shift in (32, 16, 0):
+        words[base + count] = last >> shift if shift == 32 else (last >> shift) & 0xFFFF
+        count += 1
+    words = words.reshape(n, room)
+    carry = np.zeros(n, np.uint32)
+    for i in range(int(count.max(initial=0)) - 1, -1, -1):
+        held = words[:, i] + carry
+        inside = i < count
+        words[:, i] = np.where(inside, held & 0xFFFF, 0)
+        carry = np.where(inside, held >> 16, 0).astype(np.uint32)
+    return [words[i, : count[i]].astype("<u2").tobytes() for i in range(n)]
 
 
 def _active(lengths: np.ndarray) -> np.ndarray:
@@ -108,101 +181,180 @@ def _active(lengths: np.ndarray) -> np.ndarray:
     return np.searchsorted(-lengths, -np.arange(lengths[0] if len(lengths) else 0), side="left")
 
 
-def _squeeze(low, size, at) -> tuple[np.ndarray, np.ndarray]:
-    """Lanes whose range has become short: cut it at the next border of 32 bits."""
-    lo, r = low[at], size[at]
-    cross = ((lo ^ (lo + r - np.uint64(1))) >> _U32) != 0
-    r = np.where(cross, (~lo + np.uint64(1)) & _LOW32, r)
-    size[at] = r << _U32
-    low[at] = lo << _U32
-    return lo >> _U32, at
+class _Order:
+    """What a reader's lanes know of the numbers that follow a context; held as ``number << 4 | confidence << 1``."""
 
+    def __init__(self, n: int, slots: int):
+        self.base, self.named = np.arange(n) * slots, _roomy(n * slots)
+        self.levels, self.record = np.arange(n) * _LEVELS, np.zeros(n * 2 * _LEVELS, np.int64)
+        self.said = np.zeros((BLOCK, n), np.uint8)
 
-def _encode_lanes(seqs: list[np.ndarray], distinct: np.ndarray) -> list[bytes]:
-    lengths = np.array([len(s) for s in seqs])
-    n = len(seqs)
-    grid = np.zeros((lengths.max(initial=0), n), np.int16)  # numbers lie below BLOCK
-    for i, s in enumerate(seqs):
-        grid[: len(s), i] = s
-    model = _Model(distinct)
-    low, size = np.zeros(n, np.uint64), np.full(n, np.uint64(0xFFFFFFFFFFFFFFFF))
-    words, count = np.zeros((n, len(grid) + 2), np.uint32), np.zeros(n, np.int64)
-    for step, m in enumerate(_active(lengths)):
-        s = grid[step, :m].astype(np.int64)
-        seen = model.predict(m)
-        cum, freq = model.below(m, s)
-        total = model.total[:m].copy()
-        for _, name, _, weight, *_ in seen:
-            cum += weight * (name < s)
-            freq = freq + weight * (name == s)
-            total += weight
-        r = size[:m] // total.astype(np.uint64)
-        low[:m] += cum.astype(np.uint64) * r
-        size[:m] = freq.astype(np.uint64) * r
-        at = np.flatnonzero(size[:m] <= _LOW32)
-        if len(at):
-            out, at = _squeeze(low, size, at)
-            words[at, count[at]] = out
-            count[at] += 1
-        model.update(m, s, seen)
-    rows = np.arange(n)
-    words[rows, count] = low >> _U32
-    words[rows, count + 1] = low & _LOW32
-    return [words[i, : count[i] + 2].astype("<u4").tobytes() for i in range(n)]
+    def renew(self, total: np.ndarray, begin: int, end: int) -> None:
+        """Bring the records up to date by the steps ``begin`` to ``end``, and the weights by the records."""
+        lanes = np.arange(len(total)) * 2 * _LEVELS
+        self.record += np.bincount((self.said[begin:end] + lanes).reshape(-1), minlength=self.record.size)
+        self.weight = _weights(self.record, total).astype(np.int32).reshape(-1)
+
+    def predict(self, m: int, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The number named and its weight."""
+        self.slot = slot + self.base[:m]
+        held = self.named.take(self.slot).astype(np.int64)
+        self.name, self.sure = held >> 4, held & 15
+        return self.name, self.weight.take(self.levels[:m] + (self.sure >> 1))
+
+    def learn(self, step: int, m: int, s: np.ndarray) -> None:
+        said = self.sure + (self.name == s)
+        self.said[step, :m] = said
+        self.named[self.slot] = ((s << 4) | _AFTER.take(said)).astype(np.uint16)
+
+
+def _roomy(n: int) -> np.ndarray:
+    """A table of ``n`` zeros, as part of one that is large enough for large pages."""
+    return np.zeros(max(n, 1 << 22), np.uint16)[:n]
+
+
+#: Confidence after a step, shifted, by what was said; an unknown follower can't be right.
+_AFTER = np.array([2, 2, *(2 * min(level + 1, _LEVELS - 1) if hit else 2 for level in range(1, _LEVELS) for hit in (0, 1))])
+#: How many of the up to three numbers that begin inside a place begin at or before its ``i``-th part.
+_INNER = np.array([bin(marks & ((1 << i) - 1)).count("1") for marks in range(8) for i in range(4)])
+_MARK = np.array([0, 1, 2, 4], np.float64)
+
+
+def _tables(below: np.ndarray, table: np.ndarray, spans: np.ndarray) -> None:
+    """Fills ``spans``, interval start and width of every number of scaled counts, and ``table``, their look-up table.
+
+    A place of the table holds the number in whose interval it begins and, in
+    three bits, at which of its further parts another number begins.
+    """
+    n, width = below.shape[0], below.shape[1] - 1
+    size, start = np.diff(below, axis=1), below[:, :-1]
+    edge = (below + ((1 << _FINE) - 1)) >> _FINE
+    edge[:, -1] = _PLACES
+    numbers = np.broadcast_to(np.arange(width, dtype=np.uint16) << 3, (n, width))
+    at = (start >> _FINE) + np.arange(0, n * _PLACES, _PLACES, dtype=np.int32)[:, None]
+    marks = _MARK.take(start & ((1 << _FINE) - 1))
+    marks[size == 0] = 0
+    table[:] = np.repeat(numbers.reshape(-1), np.diff(edge, axis=1).reshape(-1))
+    table += np.bincount(at.reshape(-1), marks.reshape(-1), len(table) + 1)[: len(table)].astype(np.uint16)
+    spans[:] = ((start << 16) | size).reshape(-1)
 
 
 def _decode_lanes(payloads: list[bytes], lengths: np.ndarray, distinct: np.ndarray) -> np.ndarray:
-    n = len(payloads)
-    words = np.zeros((n, max(len(p) for p in payloads) // 4 + 2), np.uint64)
+    n, width = len(payloads), int(distinct.max(initial=1))
+    room = max(len(p) for p in payloads) // 2 + 4
+    words = np.zeros((n, room), np.uint16)
     for i, p in enumerate(payloads):
-        words[i, : len(p) // 4] = np.frombuffer(p, "<u4")
-    model = _Model(distinct)
-    low, size = np.zeros(n, np.uint64), np.full(n, np.uint64(0xFFFFFFFFFFFFFFFF))
-    code, count = (words[:, 0] << _U32) | words[:, 1], np.full(n, 2)
-    grid = np.zeros((lengths.max(initial=0), n), np.int16)
-    width = words.shape[1] - 1
+        words[i, : len(p) // 2] = np.frombuffer(p, "<u2", len(p) // 2)
+    words, base, last = words.reshape(-1), np.arange(n) * room, np.arange(1, n + 1) * room - 1
+    rel, size, at = np.zeros(n), np.full(n, _WHOLE), base + 3
+    for i in range(3):
+        rel = rel * _WORD + words[base + i]
+    grid = np.zeros((int(lengths.max(initial=0)), n), np.int16)
+    first, second = _Order(n, width), _Order(n, _SLOTS)
+    row, look = np.arange(n) * width, np.arange(n) * _PLACES
+    table, spans = _roomy(n * _PLACES), np.zeros(n * width, np.int32)
+    counts, total0 = np.zeros((n, width), np.int32), np.zeros(n, np.int64)
+    one = two = np.zeros(n, np.int64)
+    begun = 0
     for step, m in enumerate(_active(lengths)):
-        seen = model.predict(m)
-        (_, n1, _, w1, *_), (_, n2, _, w2, *_) = seen
-        total = model.total[:m] + w1 + w2
-        r = size[:m] // total.astype(np.uint64)
-        t = np.minimum((code[:m] - low[:m]) // r, (total - 1).astype(np.uint64)).astype(np.int64)
-        c1, f1 = model.below(m, n1)
-        c2, f2 = model.below(m, n2)
-        same = n1 == n2
-        c1, f1 = c1 + w2 * (n2 < n1), f1 + w1 + w2 * same
-        c2, f2 = c2 + w1 * (n1 < n2), f2 + w2 + w1 * same
-        plain = t - w1 * ((w1 > 0) & (t >= c1 + f1)) - w2 * ((w2 > 0) & (t >= c2 + f2))
-        in1, in2 = (w1 > 0) & (t >= c1) & (t < c1 + f1), (w2 > 0) & (t >= c2) & (t < c2 + f2)
-        plain = np.where(in1 | in2, 0, plain)
-        s = np.where(in1, n1, np.where(in2, n2, model.find(m, plain)))
-        cum, freq = model.below(m, s)
-        cum = cum + w1 * (n1 < s) + w2 * (n2 < s)
-        freq = freq + w1 * (n1 == s) + w2 * (n2 == s)
-        low[:m] += cum.astype(np.uint64) * r
-        size[:m] = freq.astype(np.uint64) * r
-        at = np.flatnonzero(size[:m] <= _LOW32)
-        if len(at):
-            _squeeze(low, size, at)
-            code[at] = (code[at] << _U32) | words[at, np.minimum(count[at], width)]
-            count[at] += 1
-        model.update(m, s, seen)
+        if step in EPOCHS:
+            # In small groups, whose arrays stay in the cache; lanes that have ended count on, but are no longer read.
+            for a in range(0, n, _GROUP):
+                b = min(n, a + _GROUP)
+                held = counts[a:b]
+                held += np.bincount((grid[begun:step, a:b] + row[: b - a]).reshape(-1), minlength=held.size).reshape(held.shape).astype(np.int32)
+                below = _cumulated(held, distinct[a:b], step)
+                total0[a:b] = below[:, -1]
+                _tables(below, table[a * _PLACES : b * _PLACES], spans[a * width : b * width])
+            first.renew(total0, begun, step)
+            second.renew(total0, begun, step)
+            begun = step
+        own = row[:m]
+        n1, w1 = first.predict(m, one[:m])
+        n2, w2 = second.predict(m, _place2(one[:m], two[:m]))
+        total = total0[:m] + w1
+        total += w2
+        r = np.floor(size[:m] / total)
+        t = np.minimum((rel[:m] / r).astype(np.int64), total - 1)
+        # Where both name the same number, all weight is the first one's.
+        joint = w2 * (n1 == n2)
+        w1 += joint
+        w2 -= joint
+        span1, span2 = spans.take(own + n1).astype(np.int64), spans.take(own + n2).astype(np.int64)
+        lo1, lo2 = (span1 >> 16) + w2 * (n2 < n1), (span2 >> 16) + w1 * (n1 <= n2)
+        hi1, hi2 = lo1 + (span1 & 0xFFFF), lo2 + (span2 & 0xFFFF)
+        hi1 += w1
+        hi2 += w2
+        past1, past2 = t >= hi1, t >= hi2
+        in1, in2 = (t >= lo1) > past1, (t >= lo2) > past2
+        s, lo, hi = np.where(in1, n1, n2), np.where(in1, lo1, lo2), np.where(in1, hi1, hi2)
+        rest = np.flatnonzero(~(in1 | in2))
+        if len(rest):
+            above = (w1 * past1 + w2 * past2)[rest]
+            plain = t[rest] - above
+            held = table.take(look[rest] + np.minimum(plain >> _FINE, _PLACES - 1)).astype(np.int64)
+            x = (held >> 3) + _INNER.take(((held & 7) << _FINE) | (plain & ((1 << _FINE) - 1)))
+            x = np.minimum(x, width - 1)
+            span = spans.take(row[rest] + x).astype(np.int64)
+            above += span >> 16
+            s[rest], lo[rest], hi[rest] = x, above, above + np.maximum(span & 0xFFFF, 1)
+        hi -= lo
+        left, wide = rel[:m] - lo * r, hi * r
+        again = np.flatnonzero(wide < _LEAST)
+        while len(again):
+            place = at[again]
+            left[again] = left[again] * _WORD + words.take(place)
+            at[again] = np.minimum(place + 1, last[again])
+            held = wide[again] * _WORD
+            wide[again] = held
+            again = again[held < _LEAST]
+        rel[:m], size[:m] = left, wide
+        first.learn(step, m, s)
+        second.learn(step, m, s)
         grid[step, :m] = s
+        one, two = s, one
     return grid
 
 
+def _parts(n: int) -> list[tuple[int, int]]:
+    """``n`` blocks in equal runs of at most ``LANES`` and a half."""
+    k = max(1, -(-n * 2 // (3 * LANES)))
+    cuts = [n * i // k for i in range(k + 1)]
+    return list(zip(cuts[:-1], cuts[1:], strict=True))
+
+
+def _numbered(block: np.ndarray, mark: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ids of a block, ascending, and the number of each id; ``mark`` and ``number`` are tables by id."""
+    if not len(mark):
+        names, at = np.unique(block, return_inverse=True)
+        return names, at.astype(np.int16)
+    mark[block] = True
+    names = np.flatnonzero(mark)
+    number[names] = np.arange(len(names))
+    mark[names] = False
+    return names, number[block]
+
+
+def _crc(ids: np.ndarray, listed: bytes, payload: bytes) -> int:
+    """Checksum of a block: of its ids and of the bytes that stand for them."""
+    return zlib.crc32(payload, zlib.crc32(listed, zlib.crc32(ids.tobytes())))
+
+
 def encode(ids: np.ndarray) -> bytes:
     """All blocks of a run of ids (uint32), one behind the other."""
     ids = np.ascontiguousarray(ids, "<u4")
     blocks = [ids[i : i + BLOCK] for i in range(0, len(ids), BLOCK)]
+    top = int(ids.max(initial=0)) + 1
+    top = top if top <= 1 << 20 else 0
+    mark, number = np.zeros(top, bool), np.zeros(top, np.int16)
     out = []
-    for a in range(0, len(blocks), LANES):
-        part = blocks[a : a + LANES]
-        coded = [(names, at.astype(np.int16)) for names, at in (np.unique(b, return_inverse=True) for b in part)]
+    for a, b in _parts(len(blocks)):
+        part = blocks[a:b]
+        coded = [_numbered(x, mark, number) for x in part]
         payloads = _encode_lanes([c[1] for c in coded], np.array([len(c[0]) for c in coded]))
-        for b, (names, _), payload in zip(part, coded, payloads, strict=True):
+        for x, (names, _), payload in zip(part, coded, payloads, strict=True):
             listed = zlib.compress(np.diff(names, prepend=names[:1]).astype("<u2" if int(names[-1]) < 1 << 16 else "<u4").tobytes(), 6)
-            out.append(_HEAD.pack(MAGIC, len(b), len(names), int(names[0]), len(listed), len(payload), zlib.crc32(b.tobytes())))
+            out.append(_HEAD.pack(MAGIC, len(x), len(names), int(names[0]), len(listed), len(payload), _crc(x, listed, payload)))
             out += [listed, payload]
     return b"".join(out)
 
@@ -215,7 +367,7 @@ def decode(data: bytes) -> np.ndarray:
             raise Damaged("no block begins here")
         _, n, d, first, listed, payload, crc = _HEAD.unpack_from(data, at)
         at += _HEAD.size
-        if at + listed + payload > len(data) or not 0 < d <= n <= BLOCK or payload < 8:
+        if at + listed + payload > len(data) or not 0 < d <= n <= BLOCK or payload < 6:
             raise Damaged("block sizes")
         try:
             raw = zlib.decompress(data[at : at + listed])
@@ -224,19 +376,18 @@ def decode(data: bytes) -> np.ndarray:
         if len(raw) not in (2 * d, 4 * d):
             raise Damaged("list of ids")
         names = first + np.cumsum(np.frombuffer(raw, "<u2" if len(raw) == 2 * d else "<u4").astype(np.int64))
-        heads.append((n, names, data[at + listed : at + listed + payload], crc))
+        heads.append((n, names, data[at + listed : at + listed + payload], data[at : at + listed], crc))
         at += listed + payload
     out = []
-    for a in range(0, len(heads), LANES):
-        part = heads[a : a + LANES]
+    for a, b in _parts(len(heads)):
+        part = heads[a:b]
         order = sorted(range(len(part)), key=lambda i: -part[i][0])
         lanes = [part[i] for i in order]
-        grid = _decode_lanes([p[2] for p in lanes], np.array([p[0] for p in lanes]), np.array([len(p[1]) for p in lanes]))
+        grid = _decode_lanes([p[2] for p in lanes], np.array([p[0] for p in lanes]), np.array([len(p[1]) for p in lanes])) if lanes else None
         found: dict[int, np.ndarray] = {}
-        for lane, (i, (n, names, _, crc)) in enumerate(zip(order, lanes, strict=True)):
-            s = grid[:n, lane]
-            ids = names[np.minimum(s, len(names) - 1)].astype("<u4")
-            if zlib.crc32(ids.tobytes()) != crc:
+        for lane, (i, (n, names, payload, listed, crc)) in enumerate(zip(order, lanes, strict=True)):
+            ids = names[np.minimum(grid[:n, lane], len(names) - 1)].astype("<u4")
+            if _crc(ids, listed, payload) != crc:
                 raise Damaged("checksum")
             found[i] = ids
         out += [found[i] for i in range(len(part))]

@@ -86,20 +86,51 @@ def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
     return tidied
 
 
+def raw(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of a run of texts (null: empty) behind each other, and the cuts between texts."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    column = pc.fill_null(column.cast(pa.large_string()), "")
+    n = len(column)
+    buffers = column.buffers()
+    offsets = np.frombuffer(buffers[1], np.int64, n + 1, column.offset * 8) if n else np.zeros(1, np.int64)
+    data = np.frombuffer(buffers[2], np.uint8) if buffers[2] is not None else np.zeros(0, np.uint8)
+    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of byte ranges of ``data``; both bounds ascend.
+
+    A range is hashed by the pieces of fixed length that it crosses, each
+    relative to the range's start, so that equal strings hash alike
+    wherever they stand.
+    """
+    acc = np.zeros(len(starts), np.uint64)
+    n = len(data)
+    for at in range(0, n, _PIECE):
+        end = min(n, at + _PIECE)
+        a, b = np.searchsorted(ends, at, side="right"), np.searchsorted(starts, end)
+        if a >= b:
+            continue
+        s, e = starts[a:b], ends[a:b]
+        run = np.zeros(end - at + 1, np.uint64)
+        np.cumsum(_BYTE[data[at:end]] * _POW[: end - at], out=run[1:])
+        lo, hi = np.clip(s, at, end) - at, np.clip(e, at, end) - at
+        part = run[hi] - run[lo]
+        inside = s >= at
+        part[inside] *= _INV[lo[inside]]
+        for j in np.flatnonzero(~inside):
+            part[j : j + 1] *= U64(pow(_BASE, at - int(s[j]), 1 << 64))
+        acc[a:b] += part
+    return mix(acc ^ mix((ends - starts).astype(np.uint64)))
+
+
 class Texts:
     """The bytes of some documents, with their words, lines and hashes."""
 
     def __init__(self, column: pa.Array, lower: bool = False):
-        if isinstance(column, pa.ChunkedArray):
-            column = column.combine_chunks()
-        column = pc.fill_null(column.cast(pa.large_string()), "")
-        n = len(column)
-        buffers = column.buffers()
-        offsets = np.frombuffer(buffers[1], np.int64, n + 1, column.offset * 8) if n else np.zeros(1, np.int64)
-        data = np.frombuffer(buffers[2], np.uint8) if buffers[2] is not None else np.zeros(0, np.uint8)
-        self.raw = data[offsets[0] : offsets[-1]]
-        self.offsets = offsets - offsets[0]
-        self.n = n
+        self.raw, self.offsets = raw(column)
+        self.n = len(column)
         self.data = _LOWER[self.raw] if lower else self.raw
         space = _SPACE[self.data]
         self.solid = ~space
@@ -107,7 +138,7 @@ class Texts:
         first[1:] &= space[:-1]
         last[:-1] &= space[1:]
         cuts = self.offsets[1:-1]
-        cuts = cuts[(cuts > 0) & (cuts < len(data[: self.offsets[-1]]))]
+        cuts = cuts[(cuts > 0) & (cuts < self.offsets[-1])]
         first[cuts] = self.solid[cuts]
         last[cuts - 1] = self.solid[cuts - 1]
         self.starts, self.ends = np.flatnonzero(first), np.flatnonzero(last) + 1
@@ -128,30 +159,8 @@ class Texts:
         return self.sums(table[self.raw])
 
     def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Hashes of byte ranges; both bounds ascend.
-
-        A range is hashed by the pieces of fixed length that it crosses, each
-        relative to the range's start, so that equal strings hash alike
-        wherever they stand.
-        """
-        acc = np.zeros(len(starts), np.uint64)
-        n = len(self.data)
-        for at in range(0, n, _PIECE):
-            end = min(n, at + _PIECE)
-            a, b = np.searchsorted(ends, at, side="right"), np.searchsorted(starts, end)
-            if a >= b:
-                continue
-            s, e = starts[a:b], ends[a:b]
-            run = np.zeros(end - at + 1, np.uint64)
-            np.cumsum(_BYTE[self.data[at:end]] * _POW[: end - at], out=run[1:])
-            lo, hi = np.clip(s, at, end) - at, np.clip(e, at, end) - at
-            part = run[hi] - run[lo]
-            inside = s >= at
-            part[inside] *= _INV[lo[inside]]
-            for j in np.flatnonzero(~inside):
-                part[j : j + 1] *= U64(pow(_BASE, at - int(s[j]), 1 << 64))
-            acc[a:b] += part
-        return mix(acc ^ mix((ends - starts).astype(np.uint64)))
+        """Hashes of byte ranges; both bounds ascend."""
+        return hashes(self.data, starts, ends)
 
     @property
     def words(self) -> np.ndarray:

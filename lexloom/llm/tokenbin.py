@@ -8,11 +8,12 @@ written by Spark's text sink (a segment's bytes are the line, ``END`` is the
 separator), so that its commit protocol holds where executors are lost.
 
 Encoding by pieces.  In a text whose blanks and line feeds all stand alone
-between other characters, a byte-level pre-tokenizer always cuts before each of
-them, so that such a text's ids are those of its words, each with the blank or
-line feed before it.  These pieces are encoded by the library once and
-remembered; other texts are given to the library whole.  A tokenizer that
-normalises or adds blanks gets whole texts only.
+between other characters, a byte-level pre-tokenizer always cuts before a
+blank, around a line feed, and between letters, digits and other characters
+(here only those whose kind is certain; nothing is cut off at an apostrophe).
+Such a text's ids are thus those of its pieces.  These are encoded by the
+library once and remembered; other texts are given to the library whole.  A
+tokenizer that normalises or adds blanks gets whole texts only.
 
 Defined results: a null or empty text has the end id alone.  Null ``doc_id``
 come first; rows with equal ``doc_id`` are ordered by text.  An empty table
@@ -23,9 +24,11 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +45,8 @@ SEGMENT = rangecoder.BLOCK * rangecoder.LANES
 #: Segments a file; it bounds what a reader holds in memory at once.
 FILE_SEGMENTS = 8
 MAGIC, END = b"LXSEGM01", b"\x00LXEND\x00\n"
-#: Pieces remembered by a worker; beyond that it starts anew.
-MEMO = 400_000
+#: Pieces remembered by a worker (about 60 MB); beyond that it starts anew.
+MEMO = 1_000_000
 _HEAD = struct.Struct("<8sIIIIIII")
 
 _odd = np.zeros(256, bool)
@@ -57,6 +60,78 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+class Memo:
+    """Ids of pieces by the pieces' hashes, in an open table that is searched for many pieces at once."""
+
+    def __init__(self):
+        self.n, self.used = 0, 0
+        self.ids, self.cuts = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64)
+        self.keys, self.at = np.zeros(1 << 15, np.uint64), np.zeros(1 << 15, np.int32)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The number of every piece, -1 for unknown ones; no key is 0."""
+        mask, out = U64(len(self.keys) - 1), np.full(len(keys), -1, np.int64)
+        slot, left = (keys & mask).view(np.int64), np.arange(len(keys))
+        while len(left):
+            at = slot[left]
+            held = self.keys[at]
+            hit = held == keys[left]
+            out[left[hit]] = self.at[at[hit]]
+            left = left[~hit & (held != 0)]
+            slot[left] = (slot[left] + 1) & int(mask)
+        return out
+
+    def _enter(self, keys: np.ndarray, numbers: np.ndarray) -> None:
+        mask, left = len(self.keys) - 1, np.arange(len(keys))
+        slot = (keys & U64(mask)).view(np.int64)
+        while len(left):
+            free = left[self.keys[slot[left]] == 0]
+            self.keys[slot[free]] = keys[free]
+            # Of several keys for one place the last one has it; the others go on.
+            mine = self.keys[slot[left]] == keys[left]
+            self.at[slot[left[mine]]] = numbers[left[mine]]
+            left = left[~mine]
+            slot[left] = (slot[left] + 1) & mask
+
+    def learn(self, keys: np.ndarray, got: list[list[int]]) -> None:
+        """Enter new pieces; they are numbered from ``n`` on."""
+        sizes = np.fromiter(map(len, got), np.int64, len(got))
+        end, n = self.used + int(sizes.sum()), self.n + len(got)
+        while end > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
+        while n + 1 > len(self.cuts):
+            self.cuts = np.concatenate((self.cuts, np.zeros_like(self.cuts)))
+        self.ids[self.used : end] = np.fromiter(chain.from_iterable(got), np.uint32, end - self.used)
+        self.cuts[self.n + 1 : n + 1] = self.used + np.cumsum(sizes)
+        if 2 * n > len(self.keys):
+            full = np.flatnonzero(self.keys)
+            old, at = self.keys[full], self.at[full]
+            size = 1 << int(4 * n).bit_length()
+            self.keys, self.at = np.zeros(size, np.uint64), np.zeros(size, np.int32)
+            self._enter(old, at)
+        self._enter(keys, np.arange(self.n, n))
+        self.n, self.used = n, end
+
+
+def _kinds(added: list[str]) -> np.ndarray:
+    """Kind of every byte: 1 letters, 2 digits, 3 other ASCII characters, 0 what is never cut off.
+
+    An apostrophe begins contractions.  Of an added token's text no part is cut
+    off, so characters at which it would be are of kind 0.
+    """
+    out = np.zeros(256, np.uint8)
+    out[33:127] = 3
+    out[48:58] = 2
+    out[65:91] = out[97:123] = 1
+    out[ord("'")] = 0
+    for text in added:
+        raw = text.encode()
+        for a, b in zip(raw[:-1], raw[1:], strict=True):
+            if out[a] and out[b] and out[a] != out[b]:
+                out[a if out[a] > out[b] else b] = 0
+    return out
+
+
 class Encoder:
     """Encodes runs of texts; pieces are remembered from run to run."""
 
@@ -66,80 +141,77 @@ class Encoder:
 
         self.library = Tokenizer.from_str(spec)
         parts = json.loads(spec)
-        pre = parts.get("pre_tokenizer") or {}
+        pre, added = parts.get("pre_tokenizer") or {}, parts.get("added_tokens", [])
         self.by_piece = parts.get("normalizer") is None and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space", True) and pre.get("use_regex", True)
-        self.by_piece = self.by_piece and not any(t.get("lstrip") or t.get("rstrip") or t.get("normalized") and " " in t["content"] for t in parts.get("added_tokens", []))
+        self.by_piece = self.by_piece and not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") or re.search(r"\s", t["content"]) for t in added)
+        self.kinds = _kinds([t["content"] for t in added])
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[int, int] = {}
-        self.ids, self.cuts, self.used = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64), 0
-
-    def whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in self.library.encode_batch(texts, add_special_tokens=False)]
+        self.memo = Memo()
 
-    def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
-        got = self.whole(pieces)
-        flat = np.concatenate(got)
-        n = len(self.known)
-        while self.used + len(flat) > len(self.ids):
-            self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
-        while n + len(got) + 1 > len(self.cuts):
-            self.cuts = np.concatenate((self.cuts, np.zeros_like(self.cuts)))
-        self.ids[self.used : self.used + len(flat)] = flat
-        self.cuts[n + 1 : n + 1 + len(got)] = self.used + np.cumsum([len(g) for g in got])
-        self.used += len(flat)
-        self.known.update(zip(keys.tolist(), range(n, n + len(got)), strict=True))
+    def whole(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a run of texts behind each other, and the cuts between texts."""
-        t = textvec.Texts(column)
-        plain = self._plain(t) if self.by_piece else np.zeros(t.n, bool)
-        others = np.flatnonzero(~plain)
-        own = self.whole([bytes(t.raw[t.offsets[i] : t.offsets[i + 1]]).decode("utf-8", "replace") for i in others])
-        mine = plain[t.doc]
-        starts, ends, words, doc = t.starts[mine], t.ends[mine], t.words[mine], t.doc[mine]
-        before = np.where(starts > t.offsets[doc], t.raw[np.maximum(starts, 1) - 1], 0) if len(starts) else np.zeros(0, np.uint8)
-        keys, first, which = np.unique(textvec.mix(words ^ (before.astype(np.uint64) * U64(0x9E3779B97F4A7C15))), return_index=True, return_inverse=True)
-        if len(self.known) > MEMO:
+        raw, offsets = textvec.raw(column)
+        plain = self._plain(raw, offsets) if self.by_piece else np.zeros(len(column), bool)
+        starts = self._pieces(raw, offsets, plain)
+        ends = np.append(starts[1:], len(raw))
+        if self.memo.n > MEMO:
             self.forget()
-        at = np.array([self.known.get(k, -1) for k in keys.tolist()], np.int64)
-        new = np.flatnonzero(at < 0)
-        if len(new):
-            raw = t.raw.tobytes()
-            n = len(self.known)
-            self._learn(keys[new], [raw[s - (b > 0) : e].decode("utf-8", "replace") for s, e, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), before[first[new]].tolist(), strict=True)])
-            at[new] = np.arange(n, n + len(new))
-        at = at[which]
-        size = self.cuts[at + 1] - self.cuts[at]
-        stop = np.cumsum(size)
-        flat = self.ids[np.repeat(self.cuts[at] - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)]
-        counts = np.bincount(doc, size, t.n).astype(np.int64)
-        if not len(others):
-            return flat, np.concatenate(([0], np.cumsum(counts)))
-        inner = np.concatenate(([0], np.cumsum(counts)))
-        parts = [flat[inner[i] : inner[i + 1]] for i in range(t.n)]
-        for i, ids in zip(others, own, strict=True):
-            parts[i] = ids
-        return np.concatenate(parts) if parts else flat, np.concatenate(([0], np.cumsum([len(p) for p in parts])))
+        memo, piece_cuts = self.memo, np.searchsorted(starts, offsets)
+        own = np.flatnonzero(~plain & (offsets[1:] > offsets[:-1]))
+        short = np.ones(len(starts), bool)
+        short[piece_cuts[own]] = False
+        keys = textvec.hashes(raw, starts, ends)
+        keys[keys == 0] = 1
+        at = np.zeros(len(starts), np.int64)
+        at[short] = memo.find(keys[short])
+        if (missing := np.flatnonzero(at < 0)).size:
+            new, first, which = np.unique(keys[missing], return_index=True, return_inverse=True)
+            first, data = missing[first], raw.tobytes()
+            at[missing] = memo.n + which
+            memo.learn(new, self.whole([data[a:b].decode("utf-8", "replace") for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]))
+        begin, size = memo.cuts[at], memo.cuts[at + 1] - memo.cuts[at]
+        begin[~short], size[~short] = 0, 0
+        held = self.whole([bytes(raw[offsets[i] : offsets[i + 1]]).decode("utf-8", "replace") for i in own])
+        size[piece_cuts[own]] = [len(x) for x in held]
+        stop = np.concatenate(([0], np.cumsum(size)))
+        flat = memo.ids[np.minimum(np.repeat(begin - stop[:-1], size) + np.arange(stop[-1]), len(memo.ids) - 1)]
+        for i, x in zip(piece_cuts[own], held, strict=True):
+            flat[stop[i] : stop[i + 1]] = x
+        return flat, stop[piece_cuts]
+
+    def _pieces(self, raw: np.ndarray, offsets: np.ndarray, plain: np.ndarray) -> np.ndarray:
+        """Where pieces begin; a text that isn't plain is one piece."""
+        kind = self.kinds[raw]
+        # U+00C0 to U+00FF are letters but for the signs of multiplication and division.
+        lead = np.flatnonzero(raw[:-1] == 0xC3)
+        lead = lead[(raw[lead + 1] != 0x97) & (raw[lead + 1] != 0xB7)]
+        kind[lead] = kind[lead + 1] = 1
+        feed, cut = raw == 10, np.zeros(len(raw) + 1, bool)
+        cut[1:-1] = (kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0)
+        cut[1:] |= feed
+        cut[:-1] |= feed | (raw == 32)
+        for i in np.flatnonzero(~plain):
+            cut[offsets[i] : offsets[i + 1]] = False
+        cut[offsets] = True
+        return np.flatnonzero(cut[: len(raw)])
 
     @staticmethod
-    def _plain(t: textvec.Texts) -> np.ndarray:
-        """Texts with words in which every white space is a blank or line feed alone between words."""
-        raw = t.raw
-        bad = _odd[raw]
-        blank = ~t.solid
-        twice = blank.copy()
-        twice[1:] &= blank[:-1]
-        twice[:1] = False
-        bad |= twice
+    def _plain(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Texts with characters in which every white space is a blank or line feed alone between other characters."""
+        bad, blank = _odd[raw], (raw == 32) | (raw == 10)
+        bad[1:] |= blank[1:] & blank[:-1]
         # First bytes of U+0085, U+00A0, U+1680, U+180E, U+2000-205F and U+3000; some harmless characters share them.
-        wide = (raw == 0xE1) | (raw == 0xE2) | (raw == 0xE3)
-        nxt = np.concatenate((raw[1:], np.zeros(1, np.uint8)))[: len(raw)]
-        bad |= wide | ((raw == 0xC2) & ((nxt == 0x85) | (nxt == 0xA0)))
-        ok = (t.sums(bad) == 0) & (t.n_words > 0)
-        full = np.flatnonzero(t.offsets[1:] > t.offsets[:-1])
-        ok[full] &= t.solid[t.offsets[full]] & t.solid[t.offsets[full + 1] - 1]
+        high = np.flatnonzero(raw >= 0xC2)
+        lead, follow = raw[high], raw[np.minimum(high + 1, len(raw) - 1)]
+        bad[high] |= ((lead >= 0xE1) & (lead <= 0xE3)) | ((lead == 0xC2) & ((follow == 0x85) | (follow == 0xA0)))
+        ok = (np.diff(np.concatenate(([0], np.cumsum(bad, dtype=np.int64)))[offsets]) == 0) & (offsets[1:] > offsets[:-1])
+        full = np.flatnonzero(ok)
+        ok[full] &= ~blank[offsets[full]] & ~blank[offsets[full + 1] - 1]
         return ok
 
 

@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from lexloom.llm import rangecoder, tokenbin, warc
 from lexloom.llm.scratch import Scratch
 
-HARD = ["a b c", "  lead", "trail ", "two  blanks", "tab\there", "it's we'll 're", "line\n\nbreak", "a\nb c", "<|endoftext|> a", "a <|endoftext|>b c<|endoftext|>", "　wide", "1 2 34,5", "", None, " ", "é à ñ", "\x1c\x1d a", "日本 語", "a\x85b c", "x " * 3000 + "y", "—dash “q” a"]
+HARD = ["a b c", "  lead", "trail ", "two  blanks", "tab\there", "it's we'll 're", "line\n\nbreak", "a\nb c", "<|endoftext|> a", "a <|endoftext|>b c<|endoftext|>", "　wide", "1 2 34,5", "", None, " ", "é à ñ", "\x1c\x1d a", "日本 語", "a\x85b c", "x " * 3000 + "y", "—dash “q” a", "a1b2 (x).y, 3rd", "x|y<|endoftext|>z <<|endoftext|>>", "dogs' 12's été×2÷3"]
 
 
 @settings(max_examples=40, deadline=None)
@@ -53,6 +53,28 @@ def test_pieces_equal_the_library():
     assert (again[0] == flat).all()
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet="aZéß1²'.,|<>œ—×÷\u0301sret \n", max_size=30), max_size=5))
+def test_random_pieces_equal_the_library(texts):
+    with open(tokenbin.tokenizer_path(), encoding="utf-8") as f:
+        make = tokenbin.encoder(f.read())
+    flat, cuts = make.encode(pa.array(texts, pa.string()))
+    assert len(cuts) == len(texts) + 1
+    for i, text in enumerate(texts):
+        assert flat[cuts[i] : cuts[i + 1]].tolist() == make.library.encode(text, add_special_tokens=False).ids, text
+
+
+def test_memo_grows_and_finds():
+    rng, memo = np.random.default_rng(4), tokenbin.Memo()
+    keys = np.unique(rng.integers(1, 2**63, 70_000, dtype=np.uint64) << np.uint64(1))
+    for a in range(0, len(keys), 9_000):
+        part = keys[a : a + 9_000]
+        assert (memo.find(part) == -1).all()
+        memo.learn(part, [[int(k) & 0xFFFF] * (1 + int(k >> np.uint64(5)) % 3) for k in part])
+    at = memo.find(keys)
+    assert (at == np.arange(len(keys))).all() and (memo.ids[memo.cuts[at]] == (keys & np.uint64(0xFFFF))).all()
+
+
 def test_token_files(spark):
     docs = spark.createDataFrame([(i * 3 % 21, t, "x") for i, t in enumerate(HARD)] + [(None, "no id", "x")], "doc_id long, text string, start string").repartition(5)
     make = tokenbin.encoder(open(tokenbin.tokenizer_path(), encoding="utf-8").read())
