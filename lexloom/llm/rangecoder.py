@@ -15,7 +15,7 @@ this block.  What orders 1 and 2 name is known at once; counts and weights are
 brought up to date at the steps of :data:`EPOCHS`, so that in between a number
 is found by one look into a table.
 
-The coder's range has 48 bits and gives off 16 at a time; all values are whole
+The coder's range has 48 bits and gives off 24 at a time; all values are whole
 numbers below 2**53 held as doubles, whose quotients round down exactly.
 
 Many blocks are coded side by side in numpy arrays.  The writer knows all ids
@@ -30,16 +30,17 @@ import zlib
 
 import numpy as np
 
-BLOCK, LANES = 4096, 1024
+#: Blocks coded side by side, at most: a reader's steps are dearer, so that it takes more.
+BLOCK, WRITTEN, READ = 4096, 1024, 3072
 #: Steps before which counts and weights are brought up to date.
 EPOCHS = (0, 16, 32, 64, 128, 256, 512, 768, 1024, 1536, 2048, 2560, 3072, 3584)
-#: Counts are scaled to this total; a look-up table has a place for every ``1 << _FINE`` of it.
-_TOTAL, _FINE = 1 << 13, 2
-_PLACES = _TOTAL >> _FINE
+#: Counts are scaled to this total; it is no less than ``BLOCK``, so that every number has a share.
+_TOTAL = 1 << 12
 _LEVELS, _RATIO, _SLOTS = 8, 24, 2048
 #: Lanes whose predictions the writer works out together.
 _GROUP = 32
-_WORD, _LEAST, _WHOLE = float(1 << 16), float(1 << 32), float(1 << 48)
+#: The range is held between _LEAST and _WHOLE by giving off words of 24 bits.
+_WORD, _LEAST, _WHOLE = float(1 << 24), float(1 << 24), float(1 << 48)
 _HEAD = struct.Struct("<4sIIIIII")
 MAGIC = b"LXB2"
 
@@ -53,11 +54,12 @@ def _place2(one: np.ndarray, two: np.ndarray) -> np.ndarray:
     return (one * 40503 + two * 30011) & (_SLOTS - 1)
 
 
-def _cumulated(counts: np.ndarray, distinct: np.ndarray, step: int) -> np.ndarray:
-    """Scaled order-0 counts below every number (lanes x width); every number of a lane keeps a share."""
-    size = np.zeros((len(counts), counts.shape[1] + 1), np.int32)
-    size[:, 1:] = (counts * (_TOTAL - distinct)[:, None].astype(np.int32)) // max(step, 1) + (np.arange(counts.shape[1]) < distinct[:, None])
-    return np.cumsum(size, 1, dtype=np.int32)
+def _scaled(counts: np.ndarray, distinct: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the order-0 interval of every number begins, and its width (lanes x numbers); every number of a lane has one."""
+    size = counts * (_TOTAL - distinct)[:, None].astype(np.int32)
+    size //= max(step, 1)
+    size += np.arange(counts.shape[1]) < distinct[:, None]
+    return np.cumsum(size, 1, dtype=np.int32) - size, size
 
 
 def _weights(record: np.ndarray, total: np.ndarray) -> np.ndarray:
@@ -75,18 +77,21 @@ def _followers(key: np.ndarray, s: np.ndarray, steps: int, n: int) -> np.ndarray
     Each is ``number << 4 | confidence << 1 | right``.
     """
     # Sorted by key and step; a key's entries then stand in the order in which they follow each other.
-    entry = np.sort((key << 24) | (np.repeat(np.arange(steps), n) << 12) | s)
-    x, k, at = entry & 0xFFF, entry >> 24, np.arange(len(entry), dtype=np.int32)
+    entry = np.sort((key << 32) | (np.repeat(np.arange(steps), n) << 12) | s)
+    low, k = entry.view(np.int32)[::2], entry.view(np.int32)[1::2].copy()
+    x, at = low & 0xFFF, np.arange(len(entry), dtype=np.int32)
     known = k[1:] == k[:-1]
     hit = known & (x[1:] == x[:-1])
     # Confidence: how many followers in a row were equal, the first one counting.
     run = at.copy()
-    run[1:][hit] = 0
+    run[1:] *= ~hit
     level = np.minimum(at - np.maximum.accumulate(run) + 1, _LEVELS - 1)
+    level <<= 1
+    level |= x << 4
     said = np.zeros(len(entry), np.uint16)
-    said[1:] = np.where(known, (x[:-1] << 4) | (level[:-1] << 1) | hit, 0)
+    said[1:] = (level[:-1] | hit) * known
     out = np.empty(len(entry), np.uint16)
-    out[((entry >> 12) & 0xFFF) * n + (k >> 12)] = said
+    out[(low >> 12) * np.int64(n) + (k >> 12)] = said
     return out
 
 
@@ -108,14 +113,12 @@ def _predicted(grid: np.ndarray, lengths: np.ndarray, distinct: np.ndarray, out:
         end = min(end, steps)
         if begin >= end:
             break
-        below = _cumulated(counts, distinct, begin)
-        total0 = below[:, -1]
+        start, size = _scaled(counts, distinct, begin)
+        total0 = start[:, -1] + size[:, -1]
         part, own = slice(begin * n, end * n), lane[begin * n : end * n]
         x = s[part]
-        at = own * (width + 1) + x
-        flat = below.reshape(-1)
-        cum = flat.take(at)
-        freq, total = flat.take(at + 1) - cum, np.tile(total0, end - begin)
+        at = own * width + x
+        cum, freq, total = start.reshape(-1).take(at), size.reshape(-1).take(at), np.tile(total0, end - begin)
         known = slice(None) if whole else live[begin:end].reshape(-1)
         for said, record in zip(seen, records, strict=True):
             held = said[part].astype(np.int32)
@@ -128,7 +131,7 @@ def _predicted(grid: np.ndarray, lengths: np.ndarray, distinct: np.ndarray, out:
             record += np.bincount(place[known], minlength=record.size).reshape(record.shape)
         for field, values in zip(out, (cum, freq, total), strict=True):
             field[begin:end] = values.reshape(end - begin, n)
-        counts += np.bincount((own * width + x)[known], minlength=n * width).reshape(n, width).astype(np.int32)
+        counts += np.bincount(at[known], minlength=n * width).reshape(n, width).astype(np.int32)
 
 
 def _encode_lanes(seqs: list[np.ndarray], distinct: np.ndarray) -> list[bytes]:
@@ -144,8 +147,8 @@ def _encode_lanes(seqs: list[np.ndarray], distinct: np.ndarray) -> list[bytes]:
             grid[: lengths[i], i - a] = seqs[i]
         _predicted(grid, lengths[a:b], distinct[a:b], (cum[:, a:b], freq[:, a:b], total[:, a:b]))
         bits[a:b] = np.log2(total[:, a:b] / freq[:, a:b]).sum(0)
-    # Words hold a bit of carry above their 16 until the end.
-    room = int(bits.max(initial=0) / 16) + 16
+    # Words hold a bit of carry above their 24 until the end.
+    room = int(bits.max(initial=0) / 24) + 16
     words, base, count = np.zeros(n * room, np.uint32), np.arange(n) * room, np.zeros(n, np.int64)
     low, size = np.zeros(n), np.full(n, _WHOLE)
     for step, m in enumerate(_active(lengths)):
@@ -162,18 +165,17 @@ def _encode_lanes(seqs: list[np.ndarray], distinct: np.ndarray) -> list[bytes]:
             r[again] *= _WORD
             again = again[r[again] < _LEAST]
         size[:m] = r
-    last = low.astype(np.int64)
-    for shift in (32, 16, 0):
-        words[base + count] = last >> shift if shift == 32 else (last >> shift) & 0xFFFF
+    for top in (np.floor(low * (1 / _LEAST)), low % _LEAST):
+        words[base + count] = top
         count += 1
     words = words.reshape(n, room)
     carry = np.zeros(n, np.uint32)
     for i in range(int(count.max(initial=0)) - 1, -1, -1):
         held = words[:, i] + carry
-        inside = i < count
-        words[:, i] = np.where(inside, held & 0xFFFF, 0)
-        carry = np.where(inside, held >> 16, 0).astype(np.uint32)
-    return [words[i, : count[i]].astype("<u2").tobytes() for i in range(n)]
+        carry = held >> 24
+        words[:, i] = held & 0xFFFFFF
+    parts = words.astype("<u4").view(np.uint8).reshape(n, room, 4)
+    return [parts[i, : count[i], :3].tobytes() for i in range(n)]
 
 
 def _active(lengths: np.ndarray) -> np.ndarray:
@@ -215,44 +217,19 @@ def _roomy(n: int) -> np.ndarray:
 
 #: Confidence after a step, shifted, by what was said; an unknown follower can't be right.
 _AFTER = np.array([2, 2, *(2 * min(level + 1, _LEVELS - 1) if hit else 2 for level in range(1, _LEVELS) for hit in (0, 1))])
-#: How many of the up to three numbers that begin inside a place begin at or before its ``i``-th part.
-_INNER = np.array([bin(marks & ((1 << i) - 1)).count("1") for marks in range(8) for i in range(4)])
-_MARK = np.array([0, 1, 2, 4], np.float64)
-
-
-def _tables(below: np.ndarray, table: np.ndarray, spans: np.ndarray) -> None:
-    """Fills ``spans``, interval start and width of every number of scaled counts, and ``table``, their look-up table.
-
-    A place of the table holds the number in whose interval it begins and, in
-    three bits, at which of its further parts another number begins.
-    """
-    n, width = below.shape[0], below.shape[1] - 1
-    size, start = np.diff(below, axis=1), below[:, :-1]
-    edge = (below + ((1 << _FINE) - 1)) >> _FINE
-    edge[:, -1] = _PLACES
-    numbers = np.broadcast_to(np.arange(width, dtype=np.uint16) << 3, (n, width))
-    at = (start >> _FINE) + np.arange(0, n * _PLACES, _PLACES, dtype=np.int32)[:, None]
-    marks = _MARK.take(start & ((1 << _FINE) - 1))
-    marks[size == 0] = 0
-    table[:] = np.repeat(numbers.reshape(-1), np.diff(edge, axis=1).reshape(-1))
-    table += np.bincount(at.reshape(-1), marks.reshape(-1), len(table) + 1)[: len(table)].astype(np.uint16)
-    spans[:] = ((start << 16) | size).reshape(-1)
-
-
 def _decode_lanes(payloads: list[bytes], lengths: np.ndarray, distinct: np.ndarray) -> np.ndarray:
     n, width = len(payloads), int(distinct.max(initial=1))
-    room = max(len(p) for p in payloads) // 2 + 4
-    words = np.zeros((n, room), np.uint16)
+    room = max(len(p) for p in payloads) // 3 + 4
+    parts = np.zeros((n, room, 4), np.uint8)
     for i, p in enumerate(payloads):
-        words[i, : len(p) // 2] = np.frombuffer(p, "<u2", len(p) // 2)
-    words, base, last = words.reshape(-1), np.arange(n) * room, np.arange(1, n + 1) * room - 1
-    rel, size, at = np.zeros(n), np.full(n, _WHOLE), base + 3
-    for i in range(3):
-        rel = rel * _WORD + words[base + i]
+        parts[i, : len(p) // 3, :3] = np.frombuffer(p, np.uint8, len(p) // 3 * 3).reshape(-1, 3)
+    words, base, last = parts.view("<u4").reshape(-1), np.arange(n) * room, np.arange(1, n + 1) * room - 1
+    rel, size, at = words[base] * _WORD + words[base + 1], np.full(n, _WHOLE), base + 2
     grid = np.zeros((int(lengths.max(initial=0)), n), np.int16)
     first, second = _Order(n, width), _Order(n, _SLOTS)
-    row, look = np.arange(n) * width, np.arange(n) * _PLACES
-    table, spans = _roomy(n * _PLACES), np.zeros(n * width, np.int32)
+    row, look, numbers = np.arange(n) * width, np.arange(n) * _TOTAL, np.tile(np.arange(width, dtype=np.uint16), _GROUP)
+    # For every unit of the scaled counts, the number that has it; for every number, where its interval begins and its width.
+    table, spans = _roomy(n * _TOTAL), np.zeros(n * width, np.int32)
     counts, total0 = np.zeros((n, width), np.int32), np.zeros(n, np.int64)
     one = two = np.zeros(n, np.int64)
     begun = 0
@@ -263,9 +240,11 @@ def _decode_lanes(payloads: list[bytes], lengths: np.ndarray, distinct: np.ndarr
                 b = min(n, a + _GROUP)
                 held = counts[a:b]
                 held += np.bincount((grid[begun:step, a:b] + row[: b - a]).reshape(-1), minlength=held.size).reshape(held.shape).astype(np.int32)
-                below = _cumulated(held, distinct[a:b], step)
-                total0[a:b] = below[:, -1]
-                _tables(below, table[a * _PLACES : b * _PLACES], spans[a * width : b * width])
+                start, wide = _scaled(held, distinct[a:b], step)
+                total0[a:b] = start[:, -1] + wide[:, -1]
+                spans[a * width : b * width] = ((start << 16) | wide).reshape(-1)
+                wide[:, -1] += _TOTAL - total0[a:b].astype(np.int32)
+                table[a * _TOTAL : b * _TOTAL] = np.repeat(numbers[: wide.size], wide.reshape(-1))
             first.renew(total0, begun, step)
             second.renew(total0, begun, step)
             begun = step
@@ -292,9 +271,7 @@ def _decode_lanes(payloads: list[bytes], lengths: np.ndarray, distinct: np.ndarr
         if len(rest):
             above = (w1 * past1 + w2 * past2)[rest]
             plain = t[rest] - above
-            held = table.take(look[rest] + np.minimum(plain >> _FINE, _PLACES - 1)).astype(np.int64)
-            x = (held >> 3) + _INNER.take(((held & 7) << _FINE) | (plain & ((1 << _FINE) - 1)))
-            x = np.minimum(x, width - 1)
+            x = table.take(look[rest] + np.minimum(plain, _TOTAL - 1)).astype(np.int64)
             span = spans.take(row[rest] + x).astype(np.int64)
             above += span >> 16
             s[rest], lo[rest], hi[rest] = x, above, above + np.maximum(span & 0xFFFF, 1)
@@ -316,9 +293,9 @@ def _decode_lanes(payloads: list[bytes], lengths: np.ndarray, distinct: np.ndarr
     return grid
 
 
-def _parts(n: int) -> list[tuple[int, int]]:
-    """``n`` blocks in equal runs of at most ``LANES`` and a half."""
-    k = max(1, -(-n * 2 // (3 * LANES)))
+def _parts(n: int, most: int) -> list[tuple[int, int]]:
+    """``n`` blocks in equal runs of about ``most``, a little more where that spares a short one."""
+    k = max(1, -(-n * 4 // (5 * most)))
     cuts = [n * i // k for i in range(k + 1)]
     return list(zip(cuts[:-1], cuts[1:], strict=True))
 
@@ -348,7 +325,7 @@ def encode(ids: np.ndarray) -> bytes:
     top = top if top <= 1 << 20 else 0
     mark, number = np.zeros(top, bool), np.zeros(top, np.int16)
     out = []
-    for a, b in _parts(len(blocks)):
+    for a, b in _parts(len(blocks), WRITTEN):
         part = blocks[a:b]
         coded = [_numbered(x, mark, number) for x in part]
         payloads = _encode_lanes([c[1] for c in coded], np.array([len(c[0]) for c in coded]))
@@ -367,7 +344,7 @@ def decode(data: bytes) -> np.ndarray:
             raise Damaged("no block begins here")
         _, n, d, first, listed, payload, crc = _HEAD.unpack_from(data, at)
         at += _HEAD.size
-        if at + listed + payload > len(data) or not 0 < d <= n <= BLOCK or payload < 6:
+        if at + listed + payload > len(data) or not 0 < d <= n <= BLOCK or payload < 6 or payload % 3:
             raise Damaged("block sizes")
         try:
             raw = zlib.decompress(data[at : at + listed])
@@ -379,7 +356,7 @@ def decode(data: bytes) -> np.ndarray:
         heads.append((n, names, data[at + listed : at + listed + payload], data[at : at + listed], crc))
         at += listed + payload
     out = []
-    for a, b in _parts(len(heads)):
+    for a, b in _parts(len(heads), READ):
         part = heads[a:b]
         order = sorted(range(len(part)), key=lambda i: -part[i][0])
         lanes = [part[i] for i in order]

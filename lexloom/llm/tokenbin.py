@@ -41,7 +41,7 @@ from . import rangecoder, textvec
 from .textvec import U64
 
 TOKENIZER, END_ID = "byte_bpe_50k.json", 2
-SEGMENT = rangecoder.BLOCK * rangecoder.LANES
+SEGMENT = rangecoder.BLOCK * rangecoder.WRITTEN
 #: Segments a file; it bounds what a reader holds in memory at once.
 FILE_SEGMENTS = 8
 MAGIC, END = b"LXSEGM01", b"\x00LXEND\x00\n"
@@ -236,8 +236,11 @@ def pack(part: int, number: int, doc_ids: list[int | None], lengths: np.ndarray,
 
 
 def unpack(data: bytes) -> Iterator[tuple[int, int, list[int | None], np.ndarray, np.ndarray]]:
-    """Partition, number, document ids, lengths and token ids of every segment of a file."""
-    at = 0
+    """Partition, number, document ids, lengths and token ids of every segment of a file.
+
+    Segments are decoded together as far as a reader's blocks go.
+    """
+    at, held, blocks = 0, [], 0
     while at < len(data):
         if data[at : at + 8] != MAGIC or len(data) - at < _HEAD.size:
             raise rangecoder.Damaged("no segment begins here")
@@ -250,11 +253,25 @@ def unpack(data: bytes) -> Iterator[tuple[int, int, list[int | None], np.ndarray
         known = np.frombuffer(raw, np.uint8, n)
         values = np.cumsum(np.frombuffer(raw, "<i8", n, n))
         lengths = np.frombuffer(raw, "<i8", n, 9 * n)
-        ids = rangecoder.decode(data[at + listed : at + listed + body])
-        if len(ids) != lengths.sum():
-            raise rangecoder.Damaged("lengths")
-        yield part, number, [int(v) if k else None for k, v in zip(known, values, strict=True)], lengths, ids
+        own = -(-int(lengths.sum()) // rangecoder.BLOCK)
+        if held and blocks + own > rangecoder.READ:
+            yield from _decoded(held)
+            held, blocks = [], 0
+        held.append((part, number, [int(v) if k else None for k, v in zip(known, values, strict=True)], lengths, data[at + listed : at + listed + body]))
+        blocks += own
         at += listed + body + len(END)
+    yield from _decoded(held)
+
+
+def _decoded(held: list[tuple]) -> Iterator[tuple]:
+    ids = rangecoder.decode(b"".join(x[-1] for x in held))
+    if len(ids) != sum(int(x[-2].sum()) for x in held):
+        raise rangecoder.Damaged("lengths")
+    at = 0
+    for part, number, doc_ids, lengths, _ in held:
+        n = int(lengths.sum())
+        yield part, number, doc_ids, lengths, ids[at : at + n]
+        at += n
 
 
 def _segments(spec, end_id: int, segment: int):
