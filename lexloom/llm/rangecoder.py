@@ -36,10 +36,12 @@ BLOCK, WRITTEN, READ = 4096, 1024, 3072
 EPOCHS = (0, 16, 32, 64, 128, 256, 512, 768, 1024, 1536, 2048, 2560, 3072, 3584)
 #: Counts are scaled to this total; it is no less than ``BLOCK``, so that every number has a share.
 _TOTAL = 1 << 12
-_LEVELS, _RATIO, _SLOTS = 8, 24, 2048
+_LEVELS, _RATIO, _SLOTS = 8, 24, 1024
 #: Lanes whose predictions the writer works out together.
 _GROUP = 32
-#: The range is held between _LEAST and _WHOLE by giving off words of 24 bits.
+#: Steps after which the writer looks for more room.
+_CHECK = 64
+#: The range is held between _LEAST and _WHOLE by giving off words of 24 bits; a total is less than 2**20, so that one a step is enough.
 _WORD, _LEAST, _WHOLE = float(1 << 24), float(1 << 24), float(1 << 48)
 _HEAD = struct.Struct("<4sIIIIII")
 MAGIC = b"LXB2"
@@ -51,7 +53,7 @@ class Damaged(ValueError):
 
 def _place2(one: np.ndarray, two: np.ndarray) -> np.ndarray:
     """Slot of the two numbers before."""
-    return (one * 40503 + two * 30011) & (_SLOTS - 1)
+    return (one * 75 + two) & (_SLOTS - 1)
 
 
 def _scaled(counts: np.ndarray, distinct: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
@@ -77,9 +79,9 @@ def _followers(key: np.ndarray, s: np.ndarray, steps: int, n: int) -> np.ndarray
     Each is ``number << 4 | confidence << 1 | right``.
     """
     # Sorted by key and step; a key's entries then stand in the order in which they follow each other.
-    entry = np.sort((key << 32) | (np.repeat(np.arange(steps), n) << 12) | s)
-    low, k = entry.view(np.int32)[::2], entry.view(np.int32)[1::2].copy()
-    x, at = low & 0xFFF, np.arange(len(entry), dtype=np.int32)
+    entry = np.sort(((key << 12) | np.repeat(np.arange(steps, dtype=np.int32), n)).view(np.uint32))
+    k, place, at = entry >> 12, (entry & 0xFFF).astype(np.int64) * n + (entry >> 24), np.arange(len(entry), dtype=np.int32)
+    x = s.take(place)
     known = k[1:] == k[:-1]
     hit = known & (x[1:] == x[:-1])
     # Confidence: how many followers in a row were equal, the first one counting.
@@ -91,7 +93,7 @@ def _followers(key: np.ndarray, s: np.ndarray, steps: int, n: int) -> np.ndarray
     said = np.zeros(len(entry), np.uint16)
     said[1:] = (level[:-1] | hit) * known
     out = np.empty(len(entry), np.uint16)
-    out[(low >> 12) * np.int64(n) + (k >> 12)] = said
+    out[place] = said
     return out
 
 
@@ -99,12 +101,13 @@ def _predicted(grid: np.ndarray, lengths: np.ndarray, distinct: np.ndarray, out:
     """Fills interval start, width and total of every step (step-major) for a group of lanes."""
     steps, n = grid.shape
     width = int(distinct.max(initial=1))
-    lane = np.tile(np.arange(n), steps)
-    s = grid.reshape(-1)
-    before = np.zeros((2, steps, n), np.int64)
+    lane = np.tile(np.arange(n, dtype=np.int32), steps)
+    s = grid.reshape(-1).astype(np.int32)
+    before = np.zeros((2, steps, n), np.int32)
     before[0, 1:], before[1, 2:] = grid[:-1], grid[:-2]
     one, two = before.reshape(2, -1)
     seen = [_followers((lane << 12) | one, s, steps, n), _followers((lane << 12) | _place2(one, two), s, steps, n)]
+    lane, s = lane.astype(np.int64), s.astype(np.int64)
     live = np.arange(steps)[:, None] < lengths
     whole = bool(live.all())
     counts = np.zeros((n, width), np.int32)
@@ -139,31 +142,31 @@ def _encode_lanes(seqs: list[np.ndarray], distinct: np.ndarray) -> list[bytes]:
     lengths, n = np.array([len(s) for s in seqs]), len(seqs)
     steps = int(lengths.max(initial=0))
     cum, freq, total = np.zeros((steps, n), np.float32), np.ones((steps, n), np.float32), np.ones((steps, n), np.float32)
-    bits = np.zeros(n)
     for a in range(0, n, _GROUP):
         b = min(n, a + _GROUP)
         grid = np.zeros((steps, b - a), np.int16)  # numbers lie below BLOCK
         for i in range(a, b):
             grid[: lengths[i], i - a] = seqs[i]
         _predicted(grid, lengths[a:b], distinct[a:b], (cum[:, a:b], freq[:, a:b], total[:, a:b]))
-        bits[a:b] = np.log2(total[:, a:b] / freq[:, a:b]).sum(0)
-    # Words hold a bit of carry above their 24 until the end.
-    room = int(bits.max(initial=0) / 24) + 16
+    # Words hold a bit of carry above their 24 until the end; a step gives off one at most.
+    room = steps // 3 + 2 * _CHECK
     words, base, count = np.zeros(n * room, np.uint32), np.arange(n) * room, np.zeros(n, np.int64)
     low, size = np.zeros(n), np.full(n, _WHOLE)
     for step, m in enumerate(_active(lengths)):
+        if step % _CHECK == 0 and count.max() + 2 * _CHECK > room:
+            words = np.pad(words.reshape(n, room), ((0, 0), (0, room // 2 + 2 * _CHECK))).reshape(-1)
+            room += room // 2 + 2 * _CHECK
+            base = np.arange(n) * room
         lo, r = low[:m], np.floor(size[:m] / total[step, :m])
         lo += cum[step, :m] * r
         r *= freq[step, :m]
         again = np.flatnonzero(r < _LEAST)
-        while len(again):
-            held = lo[again]
-            top = np.floor(held * (1 / _LEAST))
-            words[base[again] + count[again]] = top
-            count[again] += 1
-            lo[again] = (held - top * _LEAST) * _WORD
-            r[again] *= _WORD
-            again = again[r[again] < _LEAST]
+        held, at = lo[again], count[again]
+        top = np.floor(held * (1 / _LEAST))
+        words[base[again] + at] = top
+        count[again] = at + 1
+        lo[again] = (held - top * _LEAST) * _WORD
+        r[again] *= _WORD
         size[:m] = r
     for top in (np.floor(low * (1 / _LEAST)), low % _LEAST):
         words[base + count] = top
@@ -278,13 +281,10 @@ def _decode_lanes(payloads: list[bytes], lengths: np.ndarray, distinct: np.ndarr
         hi -= lo
         left, wide = rel[:m] - lo * r, hi * r
         again = np.flatnonzero(wide < _LEAST)
-        while len(again):
-            place = at[again]
-            left[again] = left[again] * _WORD + words.take(place)
-            at[again] = np.minimum(place + 1, last[again])
-            held = wide[again] * _WORD
-            wide[again] = held
-            again = again[held < _LEAST]
+        place = at[again]
+        left[again] = left[again] * _WORD + words.take(place)
+        at[again] = np.minimum(place + 1, last[again])
+        wide[again] *= _WORD
         rel[:m], size[:m] = left, wide
         first.learn(step, m, s)
         second.learn(step, m, s)

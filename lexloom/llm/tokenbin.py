@@ -45,7 +45,7 @@ SEGMENT = rangecoder.BLOCK * rangecoder.WRITTEN
 #: Segments a file; it bounds what a reader holds in memory at once.
 FILE_SEGMENTS = 8
 MAGIC, END = b"LXSEGM01", b"\x00LXEND\x00\n"
-#: Pieces remembered by a worker (about 60 MB); beyond that it starts anew.
+#: Pieces in a worker's memo (about 60 MB); beyond that a new one is begun, and the one before is kept for look-ups.
 MEMO = 1_000_000
 _HEAD = struct.Struct("<8sIIIIIII")
 
@@ -60,6 +60,16 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def _visible() -> dict[int, str]:
+    """The character by which byte-level vocabularies write every byte: itself where it can be seen, else the next one from U+0100 on."""
+    seen = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = [b for b in range(256) if b not in seen]
+    return {b: chr(b) if b in seen else chr(256 + rest.index(b)) for b in range(256)}
+
+
+_VISIBLE = _visible()
+
+
 class Memo:
     """Ids of pieces by the pieces' hashes, in an open table that is searched for many pieces at once."""
 
@@ -132,6 +142,14 @@ def _kinds(added: list[str]) -> np.ndarray:
     return out
 
 
+def _pure(kinds: np.ndarray):
+    """Whether a piece is a line feed, or characters of one certain kind with or without a blank before them."""
+    letters, digits, signs = (re.escape(bytes(np.flatnonzero(kinds == k).tolist())) for k in (1, 2, 3))
+    latin = rb"|\xC3[\x80-\x96\x98-\xB6\xB8-\xBF]"
+    runs = [b"(?:[" + letters + b"]" + latin + b")+", *(b"[" + x + b"]+" for x in (digits, signs) if x)]
+    return re.compile(b"\n| ?(?:" + b"|".join(runs) + b")").fullmatch
+
+
 class Encoder:
     """Encodes runs of texts; pieces are remembered from run to run."""
 
@@ -145,10 +163,26 @@ class Encoder:
         self.by_piece = parts.get("normalizer") is None and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space", True) and pre.get("use_regex", True)
         self.by_piece = self.by_piece and not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") or re.search(r"\s", t["content"]) for t in added)
         self.kinds = _kinds([t["content"] for t in added])
-        self.forget()
+        self.tokenize, self.pure = self.library.model.tokenize, _pure(self.kinds)
+        self.memo, self.older = Memo(), Memo()
 
     def forget(self) -> None:
-        self.memo = Memo()
+        """Begin a new memo; pieces of the present one are entered there as they are met again."""
+        self.memo, self.older = Memo(), self.memo
+
+    def _learn(self, keys: np.ndarray, pieces: list[bytes]) -> None:
+        """Enter distinct pieces that the memo lacks; a pure one is what the pre-tokenizer gives the model at a time."""
+        at, older = self.older.find(keys), self.older
+        got: list = [older.ids[older.cuts[i] : older.cuts[i + 1]].tolist() if i >= 0 else None for i in at.tolist()]
+        others = []
+        for i in np.flatnonzero(at < 0).tolist():
+            if self.pure(pieces[i]):
+                got[i] = [t.id for t in self.tokenize(pieces[i].decode("latin-1").translate(_VISIBLE))]
+            else:
+                others.append(i)
+        for i, ids in zip(others, self.whole([pieces[i].decode("utf-8", "replace") for i in others]), strict=True):
+            got[i] = ids
+        self.memo.learn(keys, got)
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -173,13 +207,15 @@ class Encoder:
             new, first, which = np.unique(keys[missing], return_index=True, return_inverse=True)
             first, data = missing[first], raw.tobytes()
             at[missing] = memo.n + which
-            memo.learn(new, self.whole([data[a:b].decode("utf-8", "replace") for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]))
+            self._learn(new, [data[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)])
         begin, size = memo.cuts[at], memo.cuts[at + 1] - memo.cuts[at]
         begin[~short], size[~short] = 0, 0
         held = self.whole([bytes(raw[offsets[i] : offsets[i + 1]]).decode("utf-8", "replace") for i in own])
         size[piece_cuts[own]] = [len(x) for x in held]
         stop = np.concatenate(([0], np.cumsum(size)))
-        flat = memo.ids[np.minimum(np.repeat(begin - stop[:-1], size) + np.arange(stop[-1]), len(memo.ids) - 1)]
+        place = np.repeat(begin - stop[:-1], size)
+        place += np.arange(stop[-1])
+        flat = memo.ids.take(place, mode="clip")
         for i, x in zip(piece_cuts[own], held, strict=True):
             flat[stop[i] : stop[i + 1]] = x
         return flat, stop[piece_cuts]
@@ -209,7 +245,8 @@ class Encoder:
         high = np.flatnonzero(raw >= 0xC2)
         lead, follow = raw[high], raw[np.minimum(high + 1, len(raw) - 1)]
         bad[high] |= ((lead >= 0xE1) & (lead <= 0xE3)) | ((lead == 0xC2) & ((follow == 0x85) | (follow == 0xA0)))
-        ok = (np.diff(np.concatenate(([0], np.cumsum(bad, dtype=np.int64)))[offsets]) == 0) & (offsets[1:] > offsets[:-1])
+        ok = offsets[1:] > offsets[:-1]
+        ok[np.searchsorted(offsets, np.flatnonzero(bad), side="right") - 1] = False
         full = np.flatnonzero(ok)
         ok[full] &= ~blank[offsets[full]] & ~blank[offsets[full + 1] - 1]
         return ok
