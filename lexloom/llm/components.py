@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import Scratch
+from .skew import lookup
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -44,22 +45,22 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     Edges are contracted by union-find inside batches; then large-star and
     small-star rounds alternate until nothing changes.  Each round moves a
     number of rows of the order of the edges, with partial minima before the
-    shuffle, and is written to a shared table.  A node with very many edges is
-    split by the engine's skew join: only minima by node are aggregated.
+    shuffle, and is written to a shared table.  A node with very many edges
+    gets its minimum by broadcast (:func:`skew.lookup`).
     """
     edges = edges.where("a <> b")
     now = scratch.table(edges.mapInArrow(_forest, "a bigint, b bigint"), "forest")
-    before = None
+    before, n = None, now.count()
     while True:
         # Large star: to each neighbour above a node goes the least of the node's neighbourhood.
         both = now.union(now.select("b", "a")).toDF("u", "v")
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("u"), F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b")
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("c")).select("u", F.least("u", "m").alias("m"), "c")
+        large = lookup(both.where("v > u"), ["u"], least, "c", 2 * n, 2 * n).select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b")
         # Small star: a node and its lower neighbours go to the least of them.
         low = large.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
         low = scratch.table(low, "large")
-        least = low.groupBy("u").agg(F.min("v").alias("m"))
-        small = low.join(least, "u").select("u", "v", "m")
+        least = low.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("c"))
+        small = lookup(low, ["u"], least, "c", 2 * n, 2 * n).select("u", "v", "m")
         after = small.select(F.col("v").alias("a"), F.col("m").alias("b")).union(small.select("u", "m")).where("a <> b").distinct()
         scratch.drop(now)
         now = scratch.table(after, "small")
@@ -67,6 +68,6 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         mark = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if mark == before:
             break
-        before = mark
+        before, n = mark, mark[0]
     # All edges now lead from a node to its component.
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select(F.col("b"), F.col("b")).distinct())

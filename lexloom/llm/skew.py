@@ -18,7 +18,7 @@ def lookup(rows: DataFrame, keys: list[str], table: DataFrame, count: str, total
     ``table`` says in column ``count`` how many rows have the key.  Keys with
     more than ``total / HEAVY`` rows are joined by broadcast (there can be no
     more than ``HEAVY`` of them, at any size), the others by a shuffle in which
-    no key is large.  Where the table's ``size`` in rows is known and within
+    no key is large; rows with a null key match nothing.  Where the table's ``size`` in rows is known and within
     ``SMALL``, all of it is broadcast.  The column ``count`` isn't returned.
     """
     if size is not None and size <= SMALL:
@@ -28,13 +28,17 @@ def lookup(rows: DataFrame, keys: list[str], table: DataFrame, count: str, total
     light = table.where(F.col(count) <= bound).drop(count)
     values = [c for c in light.columns if c not in keys]
     first = rows.join(heavy, keys, "left")
-    salted = [F.when(F.col("_hit"), F.lit(None)).otherwise(F.col(k)).alias(f"_k{i}") for i, k in enumerate(keys)]
-    # A row that has its match gets no key for the second join, and is dealt out by a
-    # salt; that is a hash of the row, so that a repeated task deals alike.
-    second = first.select("*", *salted).withColumn("_salt", F.when(F.col("_hit"), 1 + F.pmod(F.xxhash64(*rows.columns), F.lit(996))).otherwise(0))
-    right = light.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *[F.col(v).alias(f"_r_{v}") for v in values], F.lit(0).cast("bigint").alias("_salt"))
-    on = [*(f"_k{i}" for i in range(len(keys))), "_salt"]
-    out = second.join(right, on, "left")
+    # A row that has its match, or can have none, gets no key for the second join but a salt: a
+    # hash of the row, so that a repeated task deals alike.  Salt and keys are one value, since a
+    # salt of its own would be a constant on the right side, and rows not be dealt by it.
+    done = F.col("_hit").isNotNull()
+    for k in keys:
+        done = done | F.col(k).isNull()
+    own = [F.when(~done, F.col(k)).alias(f"k{i}") for i, k in enumerate(keys)]
+    second = first.withColumn("_deal", F.struct(F.when(done, 1 + F.pmod(F.xxhash64(*rows.columns), F.lit(996))).otherwise(0).alias("salt"), *own))
+    known = light.where(" and ".join(f"`{k}` is not null" for k in keys))
+    right = known.select(F.struct(F.lit(0).cast("bigint").alias("salt"), *[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]).alias("_deal"), *[F.col(v).alias(f"_r_{v}") for v in values])
+    out = second.join(right, "_deal", "left")
     return out.select(*rows.columns, *[F.coalesce(F.col(v), F.col(f"_r_{v}")).alias(v) for v in values])
 
 
