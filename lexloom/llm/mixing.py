@@ -72,49 +72,89 @@ def targets(size: dict[str | None, int], weights: Sequence[int] = WEIGHTS, max_r
     return {s: full[s] for s in names}
 
 
-def min_cost_flow(n: int, arcs: list[tuple[int, int, int, int]], source: int, sink: int) -> list[int]:
-    """Flow on each arc ``(from, to, capacity, cost)`` of a cheapest maximal flow."""
-    to, cap, cost, out = [], [], [], [[] for _ in range(n)]
-    for a, b, c, w in arcs:
-        for u, v, k, x in ((a, b, c, w), (b, a, 0, -w)):
-            out[u].append(len(to))
-            to.append(v)
-            cap.append(k)
-            cost.append(x)
-    while True:
-        # Cheapest augmenting path, by label correction over the residual graph.
-        best, via, queue, queued = {source: 0}, {}, [source], {source}
-        while queue:
-            u = queue.pop(0)
-            queued.discard(u)
-            for e in out[u]:
-                if cap[e] > 0 and best[u] + cost[e] < best.get(to[e], float("inf")):
-                    best[to[e]], via[to[e]] = best[u] + cost[e], e
-                    if to[e] not in queued:
-                        queue.append(to[e])
-                        queued.add(to[e])
-        if sink not in best:
-            return [cap[2 * i + 1] for i in range(len(arcs))]
-        path, at = [], sink
-        while at != source:
-            path.append(via[at])
-            at = to[via[at] ^ 1]
-        push = min(cap[e] for e in path)
-        for e in path:
-            cap[e] -= push
-            cap[e ^ 1] += push
+class _Network:
+    """Maximal flow by blocking flows (shortest paths first); capacities may be raised between calls."""
+
+    def __init__(self, n: int):
+        self.to: list[int] = []
+        self.cap: list[int] = []
+        self.out: list[list[int]] = [[] for _ in range(n)]
+
+    def arc(self, a: int, b: int, capacity: int) -> int:
+        """A new arc; its flow is the capacity of the arc behind it."""
+        for u, v, c in ((a, b, capacity), (b, a, 0)):
+            self.out[u].append(len(self.to))
+            self.to.append(v)
+            self.cap.append(c)
+        return len(self.to) - 2
+
+    def _levels(self, source: int, sink: int) -> list[int] | None:
+        level = [-1] * len(self.out)
+        level[source], front = 0, [source]
+        while front and level[sink] < 0:
+            after = []
+            for u in front:
+                for e in self.out[u]:
+                    v = self.to[e]
+                    if self.cap[e] and level[v] < 0:
+                        level[v] = level[u] + 1
+                        after.append(v)
+            front = after
+        return level if level[sink] >= 0 else None
+
+    def fill(self, source: int, sink: int) -> None:
+        """Push flow until no path is left."""
+        to, cap, out = self.to, self.cap, self.out
+        while (level := self._levels(source, sink)) is not None:
+            tried, path = [0] * len(out), []
+            at = source
+            while True:
+                if at == sink:
+                    least = min(cap[e] for e in path)
+                    for e in path:
+                        cap[e] -= least
+                        cap[e ^ 1] += least
+                    # Go back to the first arc that is now full.
+                    back = next(i for i, e in enumerate(path) if not cap[e])
+                    at = to[path[back] ^ 1]
+                    del path[back:]
+                arcs, i = out[at], tried[at]
+                while i < len(arcs) and not (cap[arcs[i]] and level[to[arcs[i]]] == level[at] + 1):
+                    i += 1
+                tried[at] = i
+                if i < len(arcs):
+                    path.append(arcs[i])
+                    at = to[arcs[i]]
+                elif path:
+                    at = to[path.pop() ^ 1]
+                    tried[at] += 1
+                else:
+                    break
 
 
 def route(capacity: dict[tuple, int], quota: dict[str | None, float], max_repeat: int = MAX_REPEAT) -> dict[tuple, int]:
-    """Tokens to take of each membership pattern (a tuple of sources)."""
+    """Tokens to take of each membership pattern (a tuple of sources), by a cheapest maximal flow.
+
+    Only arcs out of the source cost something: 0 for the first pass over a
+    pattern's documents, 1 for the second, and so on.  An augmenting path costs
+    what its first arc does, so the cheapest maximal flow is a maximal one of
+    the first passes, raised to a maximal one of two passes, and so on.
+    """
     patterns, sources = list(capacity), list(quota)
     place = {s: 1 + len(patterns) + i for i, s in enumerate(sources)}
     sink = 1 + len(patterns) + len(sources)
-    arcs = [(0, 1 + i, capacity[p], k) for i, p in enumerate(patterns) for k in range(max_repeat)]
-    arcs += [(1 + i, place[s], max_repeat * capacity[p], 0) for i, p in enumerate(patterns) for s in p]
-    arcs += [(place[s], sink, round(quota[s]), 0) for s in sources]
-    flow = min_cost_flow(sink + 1, arcs, 0, sink)
-    return {p: sum(flow[i * max_repeat : (i + 1) * max_repeat]) for i, p in enumerate(patterns)}
+    net = _Network(sink + 1)
+    first = [net.arc(0, 1 + i, 0) for i in range(len(patterns))]
+    for i, p in enumerate(patterns):
+        for s in p:
+            net.arc(1 + i, place[s], max_repeat * capacity[p])
+    for s in sources:
+        net.arc(place[s], sink, round(quota[s]))
+    for _ in range(max_repeat):
+        for i, p in enumerate(patterns):
+            net.cap[first[i]] += capacity[p]
+        net.fill(0, sink)
+    return {p: net.cap[first[i] + 1] for i, p in enumerate(patterns)}
 
 
 @dataclass
@@ -280,11 +320,12 @@ def materialise(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeat: i
     behind the thresholds, so texts aren't shuffled unless that list is longer
     than ``BROADCAST_ROWS``.
     """
-    columns = docs.columns
     with Scratch(docs.sparkSession) as scratch:
         sized = scratch.table(sizes(docs.select("doc_id", _membership(members).alias("source"), "text")), "sizes")
         plan, more = _plan(sized, weights, max_repeat, seed, scratch)
         plan = plan.select("_pattern", "_passes", "_below")
-    worded = docs.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    out = _planned(worded.withColumn("_pattern", _membership(members)), plan, more, seed).where("_t > 0")
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_t").cast("int")))).select(*columns)
+    # Rows are carried as one value, so that no name of theirs meets a name of the plan.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    worded = docs.where(F.col("text").rlike(r"[^\x20\x09-\x0D]")).select(row, "doc_id", _membership(members).alias("_pattern"))
+    out = _planned(worded, plan, more, seed).where("_t > 0")
+    return out.select("row", F.explode(F.sequence(F.lit(1), F.col("_t").cast("int"))).alias("copy")).select("row.*")

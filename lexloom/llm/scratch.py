@@ -34,10 +34,15 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a local one only where that is unset."""
+    """The folder of ``spark.checkpoint.dir``.
+
+    Where that is unset it becomes a folder of the warehouse, which a cluster
+    shares, and for a local master a temporary one.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="lexloom-")
+        local = spark.sparkContext.master.split("[")[0] == "local"
+        found = "file://" + tempfile.mkdtemp(prefix="lexloom-") if local else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_lexloom"
         spark.conf.set("spark.checkpoint.dir", found)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(found)
