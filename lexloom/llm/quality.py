@@ -7,8 +7,9 @@ raise it.  The classifier has no such constraint.
 
 Defined results: null texts count as empty ones; a document without words
 fails the base rules and gets the score of a text without words.  Repeated
-rows each get their row's result; a null ``doc_id`` is carried along and never
-used for fitting.  Without labels of both kinds the score is a constant: the
+rows each get their row's result, and one text of a repeated id is fitted (see
+:func:`sample.with_text`); a null ``doc_id`` is carried along and never used
+for fitting.  Without labels of both kinds the score is a constant: the
 share of label 1 (with half a row of each kind added).  Other columns are
 ignored.
 """
@@ -40,10 +41,8 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, monotonic: bool = False, max_rows: int = sample.MAX_ROWS, **options) -> gbdt.Trees:
     """Trees for ``labels.quality``, fitted on at most ``max_rows`` labelled documents."""
     chosen = sample.labelled(labels, "quality", allowed, max_rows)
-    rows = sample.with_text(docs, chosen).mapInArrow(textvec.tidy(_featured), "doc_id bigint, label int, x array<double>").toArrow()
-    ids, first = np.unique(rows["doc_id"].to_numpy(), return_index=True)
-    rows = rows.take(pa.array(first))
-    x = pc.list_flatten(rows["x"]).to_numpy().reshape(len(ids), len(docstats.FEATURES))
+    rows = sample.with_text(docs, chosen).mapInArrow(textvec.tidy(_featured), "doc_id bigint, label int, x array<double>").toArrow().sort_by("doc_id")
+    x = pc.list_flatten(rows["x"]).to_numpy().reshape(len(rows), len(docstats.FEATURES))
     directions = {docstats.FEATURES.index(f): -1 for f in FALLING} if monotonic else None
     return gbdt.fit(x, rows["label"].to_numpy().astype(np.float64), directions, **options)
 

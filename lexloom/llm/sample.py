@@ -32,5 +32,10 @@ def labelled(labels: DataFrame, label: str, allowed: Column | None, max_rows: in
 
 
 def with_text(docs: DataFrame, chosen: DataFrame) -> DataFrame:
-    """``(doc_id, text, label)`` of the chosen documents; ``chosen`` is bounded, and so is its broadcast."""
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
+    """``(doc_id, text, label)`` of the chosen documents, one row each; ``chosen`` is bounded, and so is its broadcast.
+
+    Of rows with the same id the least text stands for all, a null one only
+    where there is no other, so that reruns agree.
+    """
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
+    return rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("label").alias("label"))
