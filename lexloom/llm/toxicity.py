@@ -9,7 +9,8 @@ the ratio where the n-gram occurs.  Scoring looks each n-gram of a whole text
 up in one dense table.
 
 Defined results: null and empty texts have no features and get the score of
-the intercept.  Repeated rows each get their row's result; a null ``doc_id`` is
+the intercept.  Repeated rows each get their row's result, and one text of a
+repeated id is fitted (see :func:`sample.with_text`); a null ``doc_id`` is
 carried along and never used for fitting.  Without labels of both kinds the
 score is the share of label 1 (with half a row of each kind added).  Other
 columns are ignored.
@@ -30,8 +31,9 @@ from . import sample, textvec
 from .scratch import Scratch
 from .textvec import U64
 
-ORDERS, BITS, FEATURES = (4, 6, 8), 21, 16_384
-POWER = 0.75
+ORDERS, BITS, FEATURES = (4, 6, 8), 21, 4096
+#: An n-gram counts if it occurs in so many labelled documents; weight of the squared coefficients.
+LEAST_DOCS, L2 = 5, 3.0
 _BLANK = np.arange(256, dtype=np.uint8)
 _BLANK[0x09:0x0E] = 32
 
@@ -99,30 +101,59 @@ def _occurring(chosen):
     return run
 
 
-def _regression(cuts: np.ndarray, cols: np.ndarray, scale: np.ndarray, y: np.ndarray, l2: float = 0.1, rounds: int = 300) -> tuple[np.ndarray, float]:
-    """Coefficients of the scaled binary features, by accelerated gradient descent.
-
-    The rarer label counts by a power of the labels' ratio, so that a
-    small sample of it isn't drowned.
+def _minimised(loss, start: np.ndarray, rounds: int, kept: int = 12, enough: float = 1e-6) -> np.ndarray:
+    """The least of a smooth convex function, by limited-memory quasi-Newton steps; ``loss`` gives value and gradient."""
+    x, (value, g) = start, loss(start)
+    moves: list[tuple[np.ndarray, np.ndarray, float]] = []
+    for _ in range(rounds):
+        if np.abs(g).max(initial=0) < enough:
+            break
+        way, parts = -g, []
+        for dx, dg, rho in reversed(moves):
+            parts.append(rho * (dx @ way))
+            way = way - parts[-1] * dg
+        if moves:
+            dx, dg, rho = moves[-1]
+            way = way / (rho * (dg @ dg))
+        for (dx, dg, rho), part in zip(moves, reversed(parts), strict=True):
+            way = way + dx * (part - rho * (dg @ way))
+        slope, step = g @ way, 1.0 if moves else 1.0 / max(1.0, float(np.abs(g).sum()))
+        for _ in range(40):
+            new = x + step * way
+            new_value, new_g = loss(new)
+            if new_value <= value + 1e-4 * step * slope:
+                break
+            step /= 2
+        else:
+            break
+        dx, dg = new - x, new_g - g
+        if dx @ dg > 1e-12:
+            moves = [*moves[1 - kept :], (dx, dg, 1 / (dx @ dg))]
+        x, value, g = new, new_value, new_g
+    return x
+
+
+def _regression(cuts: np.ndarray, cols: np.ndarray, scale: np.ndarray, y: np.ndarray, l2: float = L2, rounds: int = 200) -> tuple[np.ndarray, float]:
+    """Coefficients of the scaled binary features, and the intercept.
+
+    Minimises the mean logistic loss plus ``l2 / (2 n)`` times the squared
+    coefficients.  Rows of the rarer label count as much as those of the other,
+    so that a small sample of it isn't drowned.
     """
     n, rows = len(y), np.repeat(np.arange(len(y)), np.diff(cuts))
-    value = scale[cols]
+    value, k = scale[cols], len(scale)
     ratio = (n - y.sum() + 0.5) / (y.sum() + 0.5)
-    mass = np.where(y == 1, max(1.0, ratio**POWER), max(1.0, ratio**-POWER))
-    mass *= n / mass.sum()
-    share = ((y * mass).sum() + 0.5) / (n + 1)
-    w, b = np.zeros(len(scale)), float(np.log(share / (1 - share)))
-    vw, vb, mean = w.copy(), b, np.bincount(rows, value * value, n) * mass
-    step, b_step = 4 / (np.quantile(mean, 0.95) + 4 * l2 / n + 1e-9), 0.5
-    for i in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(np.bincount(rows, vw[cols] * value, n) + vb, -40, 40)))
-        g = mass * (p - y) / n
-        nw = vw - step * (np.bincount(cols, g[rows] * value, len(scale)) + l2 / n * vw)
-        nb = vb - b_step * g.sum()
-        k = i / (i + 3)
-        vw, vb = nw + k * (nw - w), nb + k * (nb - b)
-        w, b = nw, nb
-    return w, b
+    mass = np.where(y == 1, max(1.0, ratio), max(1.0, 1 / ratio))
+    mass /= mass.sum()
+
+    def loss(x: np.ndarray) -> tuple[float, np.ndarray]:
+        raw = np.bincount(rows, x[cols] * value, n) + x[k]
+        off = mass * (1 / (1 + np.exp(-np.clip(raw, -500, 500))) - y)
+        inner = np.bincount(cols, off[rows] * value, k) + l2 / n * x[:k]
+        return float(mass @ (np.logaddexp(0, raw) - y * raw) + l2 / (2 * n) * (x[:k] @ x[:k])), np.append(inner, off.sum())
+
+    x = _minimised(loss, np.zeros(k + 1), rounds)
+    return x[:k], float(x[k])
 
 
 def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, features: int = FEATURES, max_rows: int = sample.MAX_ROWS) -> Linear:
@@ -130,19 +161,19 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, featu
     spark = docs.sparkSession
     with Scratch(spark) as scratch:
         chosen = sample.labelled(labels, "toxic", allowed, max_rows)
-        rows = scratch.table(sample.with_text(docs, chosen).dropDuplicates(["doc_id"]), "sample")
+        rows = scratch.table(sample.with_text(docs, chosen), "sample")
         n = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
         n0, n1 = n.get(0, 0), n.get(1, 0)
         weight = np.zeros(1 << BITS, np.float32)
         if not n0 or not n1:
             share = (n1 + 0.5) / (n0 + n1 + 1)
             return Linear(weight, float(np.log(share / (1 - share))))
-        # A bounded table: a bucket has one row a task.
-        df = rows.coalesce(8).mapInArrow(textvec.tidy(_frequencies), "at bigint, n0 int, n1 int").groupBy("at").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+        # A bounded table: a bucket has at most one row a task.
+        df = rows.mapInArrow(textvec.tidy(_frequencies), "at bigint, n0 int, n1 int").groupBy("at").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
         p0, p1 = (F.col("n0") + 0.5) / (n0 + 1), (F.col("n1") + 0.5) / (n1 + 1)
         pool = (F.col("n0") + F.col("n1") + 1) / (n0 + n1 + 2)
         stat = (F.col("n0") + 0.5) * F.log(p0 / pool) + (F.col("n1") + 0.5) * F.log(p1 / pool) + (n0 - F.col("n0") + 0.5) * F.log((1 - p0) / (1 - pool)) + (n1 - F.col("n1") + 0.5) * F.log((1 - p1) / (1 - pool))
-        best = df.where("n0 + n1 >= 3").select("at", F.log(p1 / p0).alias("r"), stat.alias("s")).orderBy(F.desc("s"), "at").limit(features).toArrow().sort_by("at")
+        best = df.where(F.col("n0") + F.col("n1") >= LEAST_DOCS).select("at", F.log(p1 / p0).alias("r"), stat.alias("s")).orderBy(F.desc("s"), "at").limit(features).toArrow().sort_by("at")
         at, r = best["at"].to_numpy().astype(np.int64), best["r"].to_numpy()
         got = rows.mapInArrow(textvec.tidy(_occurring(at)), "doc_id bigint, label int, f array<int>").toArrow().sort_by("doc_id")
     cuts = np.concatenate(([0], np.cumsum(pc.list_value_length(got["f"]).to_numpy())))

@@ -2,6 +2,7 @@
 
 import inspect
 import itertools
+import json
 import re
 import zlib
 
@@ -364,3 +365,77 @@ def test_pipeline(spark, sf_dir):
     done = corpus_pipeline.run(spark, sf_dir).collect()
     assert sorted(r["doc_id"] for r in done) == sorted(r["doc_id"] for r in four.select("doc_id").collect())
     assert min(r["start"] for r in done) == 0
+
+
+def test_toxicity_of_held_out_labels(spark):
+    """Held-out labels of the tables: most toxic documents are found, and few others."""
+    sf_dir = "/root/testdata/sf0.1"
+    labels = pd.read_parquet(f"{sf_dir}/labels.parquet")
+    got = queries.QUERIES["op10_toxicity"](spark, sf_dir).toPandas().merge(labels, on="doc_id")
+    held = got[got.held_out]
+    found = held[held.predicted == 1]
+    assert held.toxic.sum() > 100
+    assert found.toxic.sum() > 0.8 * held.toxic.sum() and found.toxic.mean() > 0.95
+
+
+def test_classifiers_with_repeated_ids(spark):
+    """Copies of an id with other texts: reruns and other orders of the rows agree."""
+    rng, rows = np.random.default_rng(7), []
+    for i in range(300):
+        for copy in range(1 + 2 * (i % 5 == 0)):
+            rows.append((i, " ".join(f"word{k}" for k in rng.integers(0, 60, 30 + copy)) + (" vile" if i % 4 == 0 else ".")))
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), int(i % 4 == 0)) for i in range(300)], "doc_id long, quality int, toxic int")
+    for op in (quality.classify, toxicity.toxicity):
+        found = []
+        for order in (rows, rows[::-1]):
+            docs = spark.createDataFrame(order, "doc_id long, text string").repartition(3)
+            found.append(sorted((r["doc_id"], round(r["score"], 9)) for r in op(docs, labels).collect()))
+        assert found[0] == found[1] and len(found[0]) == len(rows)
+
+
+def test_flow_is_a_cheapest_maximal_one():
+    """Against all ways to take tokens of some small patterns of overlapping sources."""
+    rng = np.random.default_rng(11)
+    sources = ["a", "b", "c"]
+    subsets = [s for k in (1, 2, 3) for s in itertools.combinations(sources, k)]
+    for _ in range(40):
+        patterns = [subsets[i] for i in rng.choice(len(subsets), 4, replace=False)]
+        capacity = {p: int(rng.integers(0, 4)) for p in patterns}
+        quota = {s: float(rng.integers(0, 8)) for s in sources}
+        best = None
+        for taken in itertools.product(*[range(3 * capacity[p] + 1) for p in patterns]):
+            # Whatever goes into a set of sources alone must fit into their quotas.
+            if all(sum(t for t, p in zip(taken, patterns, strict=True) if set(p) <= set(s)) <= sum(quota[x] for x in s) for s in subsets):
+                cost = sum(sum(j // capacity[p] for j in range(t)) for t, p in zip(taken, patterns, strict=True))
+                best = max(best or (-1, 0), (sum(taken), -cost))
+        got = mixing.route(capacity, quota)
+        cost = sum(sum(j // capacity[p] for j in range(t)) for p, t in got.items())
+        assert (sum(got.values()), -cost) == best
+
+
+def test_mixing_of_overlapping_sources(spark):
+    rng = np.random.default_rng(12)
+    names = [["x"], ["y"], ["x", "y"], ["y", "z"], ["z"]]
+    rows = [(i, "w " * int(rng.integers(1, 40)), "x", names[i % 5]) for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, m array<string>")
+    got = mixing.mix(docs, members="m").toPandas().merge(pd.DataFrame(rows, columns=["doc_id", "text", "s", "m"]), on="doc_id")
+    capacity = {tuple(sorted(m)): int(sum(len(r[1].split()) for r in rows if r[3] == m)) for m in names}
+    # Of several cheapest flows the one that follows from the patterns in the order of their texts.
+    capacity = dict(sorted(capacity.items(), key=lambda x: json.dumps(x[0], separators=(",", ":"))))
+    size = {s: sum(n for p, n in capacity.items() if s in p) for s in "xyz"}
+    want = mixing.route(capacity, mixing.targets(size))
+    taken = got.groupby(got.m.map(lambda m: tuple(sorted(m)))).taken.sum()
+    for p, n in want.items():
+        assert 0 <= n - taken[p] < 40
+
+
+def test_materialise_keeps_clashing_columns(spark):
+    names = ["_t", "_pattern", "_passes", "_below", "_more", "_copy", "_id", "_p", "row", "copy", "key", "a.b"]
+    docs = spark.createDataFrame([(i, "w " * (i % 7), f"s{i % 3}", *[f"{n}{i}" for n in names]) for i in range(60)], f"doc_id long, text string, source string, {', '.join(f'`{n}` string' for n in names)}")
+    made = mixing.materialise(docs)
+    assert made.columns == docs.columns
+    times = {r["doc_id"]: r["taken"] // r["size"] for r in mixing.mix(docs).where("size > 0").collect()}
+    rows = made.collect()
+    assert all(r[n] == f"{n}{r['doc_id']}" for r in rows for n in names)
+    counts = pd.Series([r["doc_id"] for r in rows]).value_counts().to_dict()
+    assert counts == {i: t for i, t in times.items() if t}

@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from lexloom.llm import docstats, gbdt, superminhash, textvec
+from lexloom.llm import docstats, gbdt, superminhash, textvec, toxicity
 
 WORD = r"[^\x20\x09-\x0D]+"
 TEXTS = st.lists(st.one_of(st.none(), st.text(alphabet="aAbé \t\n\x0b日#", max_size=60)), max_size=6)
@@ -103,3 +103,64 @@ def test_trees_learn_and_stay_monotonic():
 def test_trees_without_two_labels():
     assert gbdt.fit(np.zeros((0, 2)), np.zeros(0)).score(np.zeros((2, 2))).tolist() == [0.5, 0.5]
     assert gbdt.fit(np.zeros((3, 2)), np.ones(3)).score(np.zeros((1, 2)))[0] == pytest.approx(3.5 / 4)
+
+
+def test_first_split_by_brute_force():
+    """The root of the first tree is the best of all splits at all quantile cuts."""
+    rng = np.random.default_rng(8)
+    x = rng.random((400, 4))
+    y = ((x[:, 2] > 0.37) ^ (rng.random(400) < 0.2)).astype(float)
+    model = gbdt.fit(x, y, trees=1, depth=1)
+    share = (y.sum() + 0.5) / (len(y) + 1)
+    grad, hess, best = share - y, np.full(len(y), share * (1 - share)), (-1.0, None)
+
+    def score(rows):
+        return grad[rows].sum() ** 2 / (hess[rows].sum() + 2.0)
+
+    for f in range(4):
+        for cut in np.unique(np.quantile(x[:, f], np.linspace(0, 1, 65)[1:-1])):
+            low = x[:, f] <= cut
+            if min(hess[low].sum(), hess[~low].sum()) >= 3.0:
+                best = max(best, (score(low) + score(~low), (f, cut)))
+    root = model.roots[0]
+    assert (model.feature[root], model.cut[root]) == best[1]
+    for side, rows in ((model.left, x[:, best[1][0]] <= best[1][1]), (model.right, x[:, best[1][0]] > best[1][1])):
+        assert model.value[side[root]] == pytest.approx(-0.15 * grad[rows].sum() / (hess[rows].sum() + 2.0))
+
+
+def test_regression_is_a_minimum():
+    rng = np.random.default_rng(9)
+    rows = [np.sort(rng.choice(30, rng.integers(0, 8), replace=False)) for _ in range(200)]
+    cuts, cols = np.concatenate(([0], np.cumsum([len(r) for r in rows]))), np.concatenate(rows)
+    scale, y = rng.normal(size=30), (rng.random(200) < 0.15).astype(float)
+    w, b = toxicity._regression(cuts, cols, scale, y)
+    x = np.zeros((200, 30))
+    for i, r in enumerate(rows):
+        x[i, r] = scale[r]
+    mass = np.where(y == 1, (200 - y.sum() + 0.5) / (y.sum() + 0.5), 1.0)
+    mass /= mass.sum()
+
+    def loss(w, b):
+        raw = x @ w + b
+        return mass @ (np.logaddexp(0, raw) - y * raw) + toxicity.L2 / 400 * (w @ w)
+
+    at = loss(w, b)
+    for _ in range(200):
+        assert loss(w + 0.01 * rng.normal(size=30), b + 0.01 * rng.normal()) > at
+
+
+def test_toxicity_features_by_brute_force():
+    texts = ["Vile  words\tand é日 words", "", None, "abc", "the same the same", "x" * 70_000]
+    parts = {}
+    for at, doc in toxicity.ngrams(pa.array(texts, pa.string())):
+        for a, d in zip(at.tolist(), doc.tolist(), strict=True):
+            parts.setdefault(d, []).append(a)
+    coef, mask = [int(c) for c in textvec.WORD_COEF], (1 << 64) - 1
+    for i, text in enumerate(texts):
+        chars = [" " if c in "\t\n\x0b\x0c\r" else chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""]
+        want = []
+        for n in toxicity.ORDERS:
+            for j in range(len(chars) - n + 1):
+                acc = (n + sum(ord(c) * coef[k + 1] for k, c in enumerate(chars[j : j + n]))) & mask
+                want.append((((acc ^ (acc >> 31)) * 0x9E3779B97F4A7C15) & mask) >> (64 - toxicity.BITS))
+        assert parts.get(i, []) == want
