@@ -20,7 +20,7 @@ def lines(content: Column) -> Column:
 
 def without_marks(line: Column) -> Column:
     """A line without byte order marks at its start, trimmed."""
-    return F.regexp_replace(line, "(?U)^﻿+|^\\s+|\\s+$", "")
+    return F.regexp_replace(line, "(?U)^[﻿\\s]+|\\s+$", "")
 
 
 def is_content(line: Column) -> Column:
@@ -45,6 +45,6 @@ def words(df: DataFrame, text: str = "text", *keep: str) -> DataFrame:
 
 
 def placed_words(df: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """As :func:`words`, with ``ord``, which orders words by ``key`` and place."""
+    """As :func:`words`, with ``ord``, a pair of ``key`` and place that orders words."""
     rows = df.select(key, F.posexplode(F.split(F.lower(text), r"[^\p{L}]+")).alias("pos", "word")).where("word <> ''")
-    return rows.select("word", (F.col(key) * 1_000_000 + F.col("pos")).alias("ord"))
+    return rows.select("word", F.struct(key, "pos").alias("ord"))

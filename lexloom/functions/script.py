@@ -31,6 +31,13 @@ class Profile:
     floor: int = 0
     readings: dict[str, str] = field(default_factory=dict)
     keep: tuple[str, ...] = ()
+    #: Variants that a plain table may have all the same.
+    exempt: str = ""
+
+    def suspects(self, exempt: str | None = None) -> str:
+        """Variants that a plain table should not have."""
+        spared = self.exempt if exempt is None else exempt
+        return "".join(v for v, p in zip(self.variants, self.plains, strict=True) if v != p and v not in spared and v not in self.keep)
 
     def pattern(self, max_length: int | None = None) -> str:
         """Words of this script, of 1 to ``max_length`` characters."""
@@ -103,7 +110,8 @@ def han_profile(spark, start: int = 0x4E00, end: int = 0x9FFF) -> Profile:
     """Han profile, built on the driver from the ICU rules that ship with Spark.
 
     Characters are converted one by one.  Allowed are those that conversion
-    knows in either direction and those of the GB 2312 set.  Words of the
+    knows in either direction and those of the GB 2312 set; variants of that
+    set are exempt from the test of plain tables.  Words of the
     exception list keep their form.  Needs a classic (JVM) session.
     """
     icu = spark.sparkContext._jvm.com.ibm.icu.text.Transliterator
@@ -126,4 +134,5 @@ def han_profile(spark, start: int = 0x4E00, end: int = 0x9FFF) -> Profile:
 
     pairs = [(c, s) for c, s in zip(chars, simple, strict=True) if s != c and len(s) == 1]
     allowed = "".join(c for c, s, t in zip(chars, simple, complex_, strict=True) if s == c and (t != c or national(c)))
-    return Profile("han", "一-鿿", 6, "".join(c for c, _ in pairs), "".join(s for _, s in pairs), allowed, start, readings, ("乾坤",))
+    exempt = "".join(c for c, _ in pairs if national(c))
+    return Profile("han", "一-鿿", 6, "".join(c for c, _ in pairs), "".join(s for _, s in pairs), allowed, start, readings, ("乾坤",), exempt)

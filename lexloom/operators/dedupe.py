@@ -24,7 +24,10 @@ def first_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 
 def max_wins(df: DataFrame, keys: list[str], value: str, order: str) -> DataFrame:
-    """The row of the greatest value, a tie going to the first; its place is the key's first."""
+    """The row of the greatest value, a tie going to the first; its place is the key's first.
+
+    ``order`` may be of any type that can be compared, pairs included.
+    """
     rest = [c for c in df.columns if c not in (*keys, value, order)]
-    best = F.max(F.struct(F.col(value), (-F.col(order)).alias("_n"), *rest)).alias("_x")
+    best = F.min(F.struct((-F.col(value)).alias("_n"), order, value, *rest)).alias("_x")
     return df.groupBy(*keys).agg(best, F.min(order).alias(order)).select(*keys, f"_x.{value}", *[f"_x.{c}" for c in rest], order)

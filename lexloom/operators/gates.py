@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.functions import script
@@ -20,22 +20,24 @@ def char_inventory(df: DataFrame) -> DataFrame:
     return df.select(F.explode(F.split("word", "")).alias("ch")).where("ch <> ''").distinct()
 
 
-def suspect_chars(df: DataFrame, profile: Profile, exempt: str = "") -> DataFrame:
-    """Variant characters that a plain table should not have; judged on characters, not words."""
-    ch = F.col("ch")
-    return char_inventory(df).where(script.is_variant(ch, profile) & ~F.contains(F.lit(exempt), ch))
+def is_suspect(word: Column, profile: Profile, exempt: str | None = None) -> Column:
+    """Some character is a variant that a plain table should not have; judged on characters, not words."""
+    return F.translate(word, profile.suspects(exempt), "") != word
 
 
-def suspect_words(df: DataFrame, profile: Profile, exempt: str = "") -> DataFrame:
+def suspect_chars(df: DataFrame, profile: Profile, exempt: str | None = None) -> DataFrame:
+    """Suspect characters of the column ``word``; ``exempt`` replaces the profile's own exemptions."""
+    return char_inventory(df).where(is_suspect(F.col("ch"), profile, exempt))
+
+
+def suspect_words(df: DataFrame, profile: Profile, exempt: str | None = None) -> DataFrame:
     """Words with a suspect character."""
-    chars = df.select("word", F.explode(F.split("word", "")).alias("ch"))
-    return chars.join(suspect_chars(df, profile, exempt), "ch", "left_semi").select("word").distinct()
+    return df.select("word").where(is_suspect(F.col("word"), profile, exempt)).distinct()
 
 
-def plain_gate(df: DataFrame, profile: Profile, exempt: str = "", limit: int = LIMIT) -> DataFrame:
-    """``n, suspects, status``: OK without suspects, WARN below the limit, else FAIL."""
-    n = df.agg(F.count("*").alias("n"))
-    report = n.join(F.broadcast(suspect_words(df, profile, exempt).agg(F.count("*").alias("suspects"))))
+def plain_gate(df: DataFrame, profile: Profile, exempt: str | None = None, limit: int = LIMIT) -> DataFrame:
+    """``n, suspects, status``: OK without suspect words, WARN below the limit, else FAIL; one aggregate."""
+    report = df.agg(F.count("*").alias("n"), F.count_distinct(F.when(is_suspect(F.col("word"), profile, exempt), F.col("word"))).alias("suspects"))
     return report.withColumn("status", F.when(F.col("suspects") == 0, "OK").when(F.col("suspects") < limit, "WARN").otherwise("FAIL"))
 
 
@@ -53,6 +55,11 @@ def ranked_gate(df: DataFrame, expected: DataFrame) -> DataFrame:
     return report.withColumn("status", F.when(F.coalesce(ok, F.lit(False)), "OK").otherwise("FAIL"))
 
 
+def present(found: dict[str, int], needed: list[str]) -> list[str]:
+    """Those of the needed tables that a database's catalog lacks."""
+    return [t for t in needed if t not in found]
+
+
 def overall(*reports: DataFrame) -> DataFrame:
     """``passed``: whether no report has failed; all are looked at."""
     rows = reports[0].select("status")

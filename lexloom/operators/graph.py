@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexloom.shared import cut
+
 #: Nodes after which no further level is begun.
 MAX_NODES = 5000
 
@@ -14,17 +16,23 @@ def collect(edges: DataFrame, seeds: DataFrame, max_depth: int, max_nodes: int |
 
     ``edges (parent, child)``, ``seeds (node)``.  One join a level, and an
     anti-join against the nodes already met; breadth first, so that the result
-    does not depend on an order of visits.  With ``max_nodes`` no level is begun
-    once more nodes have been met.
+    does not depend on an order of visits.  Each level is computed once, into
+    the shared folder, so that the plan doesn't grow with the depth.  With
+    ``max_nodes`` no level is begun once more nodes have been met.
     """
-    found = seeds.select("node").distinct().withColumn("depth", F.lit(0))
-    frontier = found
-    for depth in range(1, max_depth + 1):
-        if max_nodes is not None and found.count() > max_nodes:
+    levels = [cut(seeds.select("node").distinct())]
+    for _ in range(max_depth):
+        if max_nodes is not None and sum(x.count() for x in levels) > max_nodes:
+            break
+        step = edges.join(levels[-1], F.col("parent") == F.col("node"), "left_semi").select(F.col("child").alias("node")).distinct()
+        for known in levels:
+            step = step.join(known, "node", "left_anti")
+        levels.append(cut(step))
+        if levels[-1].isEmpty():
             break
-        step = frontier.join(edges, frontier["node"] == edges["parent"]).select(F.col("child").alias("node")).distinct()
-        frontier = step.join(found.select("node"), "node", "left_anti").withColumn("depth", F.lit(depth))
-        found = found.unionByName(frontier)
+    found = levels[0].withColumn("depth", F.lit(0))
+    for depth, level in enumerate(levels[1:], 1):
+        found = found.unionByName(level.withColumn("depth", F.lit(depth)))
     return found
 
 

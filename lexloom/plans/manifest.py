@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 import json
-import subprocess
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,28 +20,42 @@ def next_version(previous: Column, today: Column) -> Column:
 
 
 def commit(folder: str = ".") -> str:
-    """Short hash of the checked-out commit, or ``unknown``."""
-    try:
-        done = subprocess.run(["git", "rev-parse", "--short", "HEAD"], capture_output=True, text=True, cwd=folder, timeout=5)
-        return done.stdout.strip() or "unknown"
-    except (OSError, subprocess.SubprocessError):
+    """Short hash of the checked-out commit, read from the repository's files, or ``unknown``."""
+    top = next((p / ".git" for p in (Path(folder).resolve(), *Path(folder).resolve().parents) if (p / ".git").is_dir()), None)
+    if top is None or not (top / "HEAD").exists():
         return "unknown"
+    head = (top / "HEAD").read_text().strip()
+    if not head.startswith("ref: "):
+        return head[:7]
+    name = head[5:]
+    if (top / name).exists():
+        return (top / name).read_text()[:7]
+    packed = (top / "packed-refs").read_text().splitlines() if (top / "packed-refs").exists() else []
+    return next((line[:7] for line in packed if line.endswith(" " + name)), "unknown")
 
 
 def artefacts(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """``path, sha256, size`` of files; hashing is spread over the executors, a file a row."""
+    """``path, name, sha256, size`` of files; ``name`` is the path below the folder.  Hashing is spread over the executors, a file a row."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
-    return files.select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("size"))
+    top = _place(spark, path)[1].toString()
+    return files.select("path", F.col("path").substr(F.lit(len(top) + 2), F.length("path")).alias("name"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("size"))
+
+
+def _place(spark: SparkSession, path: str):
+    """The file system of a path, and the path as that names it."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs, fs.makeQualified(at)
 
 
 def manifest(files: DataFrame, rows: dict[str, dict[str, int]], previous: str | None, now: datetime.datetime, git: str = "unknown") -> dict:
-    """Version, time, commit and, for each artefact by its name, hash, size and row counts."""
+    """Version, time, commit and, for each artefact by its path below the folder, hash, size and row counts."""
     today = now.strftime("%Y.%m.%d")
     spark = files.sparkSession
     version = spark.range(1).select(next_version(F.lit(previous or ""), F.lit(today)).alias("v")).first()["v"]
     entries = {}
     for r in files.orderBy("path").toLocalIterator():
-        name = r["path"].rsplit("/", 1)[-1]
+        name = r["name"]
         entries[name] = {"sha256": r["sha256"], "size": r["size"]} | ({"rows": rows[name]} if rows.get(name) else {})
     return {"version": version, "built_at": now.strftime("%Y-%m-%dT%H:%M:%S"), "git_commit": git, "dicts": entries}
 
@@ -64,7 +78,7 @@ def check(found: dict, files: DataFrame) -> DataFrame:
     """``name, status`` of every artefact of a manifest against files: match, changed or missing."""
     spark = files.sparkSession
     expected = spark.createDataFrame([(k, v["sha256"]) for k, v in found.get("dicts", {}).items()], "name string, sha256 string")
-    return gates.reconciled(expected, files.withColumn("name", F.element_at(F.split("path", "/"), -1)), "name", "sha256")
+    return gates.reconciled(expected, files, "name", "sha256")
 
 
 def publish(spark: SparkSession, source: str, target: str, found: dict, glob: str = "*") -> DataFrame:
@@ -76,8 +90,8 @@ def publish(spark: SparkSession, source: str, target: str, found: dict, glob: st
     if before.where("status <> 'match'").limit(1).count():
         return before
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    fs_path = jvm.org.apache.hadoop.fs.Path
-    for r in artefacts(spark, source, glob).select("path").toLocalIterator():
-        a, b = fs_path(r["path"]), fs_path(f"{target}/{r['path'].rsplit('/', 1)[-1]}")
-        jvm.org.apache.hadoop.fs.FileUtil.copy(a.getFileSystem(conf), a, b.getFileSystem(conf), b, False, True, conf)
+    for r in artefacts(spark, source, glob).select("path", "name").toLocalIterator():
+        (a_fs, a), (b_fs, b) = _place(spark, r["path"]), _place(spark, f"{target}/{r['name']}")
+        b_fs.mkdirs(b.getParent())
+        jvm.org.apache.hadoop.fs.FileUtil.copy(a_fs, a, b_fs, b, False, True, conf)
     return check(found, artefacts(spark, target, glob))

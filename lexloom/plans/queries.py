@@ -6,12 +6,18 @@ profile runs through the same operators in the tests.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lexloom.functions import parsing, script
 from lexloom.functions.script import LATIN
 from lexloom.operators import dedupe, gates, graph, lexicon, ranking
+from lexloom.plans import build
+from lexloom.shared import cut, shared_dir
+from lexloom.sources import domain_files, files
 
 BOOST = {"common": {"the": 3.0, "and": 2.5, "of": 1.5}, "news": {"that": 1.25, "and": 2.0}}
 DEMOTE = {"stale": {"the": 4.0, "in": 3.0, "is": 7.0}}
@@ -19,7 +25,7 @@ CONFIG = {"food": (["Food", "Cuisine"], 2), "sport": (["Sport"], 1), "music": ([
 VERSIONS = ["2024.05.06.3", "2024.05.05.9", "broken", "2024.05.06.x"]
 TODAY = "2024.05.06"
 DOMAINS = ["src1", "src2", "src7"]
-CAP = 25
+CAP = build.DOMAIN_CAP
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -68,7 +74,7 @@ def graph_collect(spark, d):
 def domain_collect(spark, d):
     """Distinct words of the script in each domain, read, and capped by word order."""
     rows = _domain_words(spark, d).where(script.is_word(F.col("word"), LATIN)).distinct()
-    return ranking.capped(lexicon.read_as(rows, LATIN), ["domain"], [F.col("word")], 500)
+    return ranking.capped(lexicon.read_as(rows, LATIN), ["domain"], [F.col("word")], CAP)
 
 
 def domain_subset(spark, d):
@@ -85,7 +91,7 @@ def domain_clean(spark, d):
     docs = _t(spark, d, "documents").where("source is not null")
     rows = docs.select(F.col("source").alias("domain"), "doc_id", F.posexplode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("pos", "word")).where("word <> ''")
     rows = rows.where(~script.is_garbage(F.col("word"), LATIN)).withColumn("reading", script.fold(F.col("word"), LATIN))
-    return rows.groupBy("domain", "word", "reading").agg(F.min(F.col("doc_id") * 1_000_000 + F.col("pos")).alias("ord"))
+    return dedupe.first_wins(rows, ["domain", "word", "reading"], ["doc_id", "pos"])
 
 
 def domain_counts(spark, d):
@@ -112,7 +118,8 @@ def first_wins(spark, d):
 def fold_max_wins(spark, d):
     words = parsing.placed_words(_t(spark, d, "documents"), "doc_id").groupBy("word").agg(F.count("*").alias("freq"), F.min("ord").alias("ord"))
     words = words.where(~script.is_garbage(F.col("word"), LATIN)).withColumn("folded", script.fold(F.col("word"), LATIN))
-    return dedupe.max_wins(words.withColumnRenamed("word", "form").withColumnRenamed("folded", "word"), ["word"], "freq", "ord")
+    out = dedupe.max_wins(words.withColumnRenamed("word", "form").withColumnRenamed("folded", "word"), ["word"], "freq", "ord")
+    return out.select("word", "freq", "form", "ord.doc_id", "ord.pos")
 
 
 def factor_flatten(spark, d):
@@ -166,7 +173,8 @@ def dual_write(spark, d):
 
 def system_build(spark, d):
     """Merge, split, adjust and compress: plain words on the log scale, variants at their raw frequency."""
-    merged = lexicon.classified(lexicon.fill(_words(spark, d), _words(spark, d, "conversations")), LATIN)
+    # Both sides and the maximum read the merged words once they are written.
+    merged = cut(lexicon.classified(lexicon.fill(_words(spark, d), _words(spark, d, "conversations")), LATIN).where("class <> 'garbage'"))
     plain = merged.where("class = 'plain'").select("word", "freq")
     plain = lexicon.compressed(lexicon.adjusted(plain, lexicon.factors(_rows(spark, BOOST)), lexicon.factors(_rows(spark, DEMOTE))))
     variant = merged.where("class = 'variant'").select("word", "freq")
@@ -212,7 +220,7 @@ def suspect_examples(spark, d):
 
 
 def script_gate(spark, d):
-    words = lexicon.classified(_words(spark, d), LATIN)
+    words = cut(lexicon.classified(_words(spark, d), LATIN))
     plain = gates.plain_gate(words.where("class = 'plain'"), LATIN).withColumn("gate", F.lit("plain"))
     mixed = gates.plain_gate(words, LATIN).withColumn("gate", F.lit("mixed"))
     variant = gates.variant_gate(words.where("class = 'variant'"), LATIN, "word").withColumn("gate", F.lit("variant"))
@@ -278,13 +286,36 @@ def candidates(spark, d):
     return lexicon.candidates(common, system, F.col("reading").isin("de", "e", "la", "u"))
 
 
+def _folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/queries-{uuid.uuid4().hex}"
+
+
+def domain_files_round_trip(spark, d):
+    """Domain words written as text files and read back, with the ids of the files."""
+    rows = domain_collect(spark, d)
+    place = F.row_number().over(W.partitionBy("domain").orderBy("word"))
+    path = _folder(spark)
+    domain_files.write_txt(rows.withColumn("ord", place), path, ["domain words", "word<TAB>reading"])
+    return cut(files.read_domains(spark, path).select("domain_id", "domain", "word", "reading"))
+
+
+def ranked_file_round_trip(spark, d):
+    """Items of the benchmark as a ranked list in one file, with comments and capitals, and read back."""
+    word = F.regexp_extract("text", r"^\S+", 0)
+    lines = _t(spark, d, "benchmark").where(word != "").select("item_id", F.concat(F.lit("\ufeff "), F.upper(word), F.lit("\t"), word, F.lit("\r")).alias("line"))
+    body = lines.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("item_id", "line"))), lambda x: x["line"]), "\n").alias("value"))
+    path = _folder(spark)
+    body.select(F.concat(F.lit("# ranked\r\n\r\n"), "value").alias("value")).coalesce(1).write.text(path)
+    return cut(files.read_ranked(spark, path))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         final_rank, lex_base, title_clean, graph_collect, domain_collect, domain_subset, domain_cap, domain_clean, domain_counts, domain_override,
         fill_merge, anti_new_words, last_wins, first_wins, fold_max_wins, factor_flatten, config_explode, factor_apply, factor_unmatched, log_compress,
         script_split, script_split_counts, dual_write, system_build, readings, homophones, common_rank, dir_scan_ids, char_inventory, suspect_words,
-        suspect_examples, script_gate, common_verify, gate_all, table_counts, content_hash, manifest_reconcile, next_version, batching, candidates,
+        suspect_examples, script_gate, common_verify, gate_all, table_counts, content_hash, manifest_reconcile, next_version, batching, candidates, domain_files_round_trip, ranked_file_round_trip,
     )
 }
 
@@ -323,7 +354,7 @@ def _map(table: dict) -> str:
 _ADJ = f"""SELECT word, CAST(trunc(CASE WHEN x.factor IS NULL THEN f ELSE f / x.factor END) AS BIGINT) AS freq
 FROM (SELECT word, CAST(trunc(CASE WHEN b.factor IS NULL THEN freq ELSE freq * b.factor END) AS BIGINT) AS f FROM {{src}} LEFT JOIN {_map(BOOST)} b USING (word)) LEFT JOIN {_map(DEMOTE)} x USING (word)"""
 _DOMAIN = f"(SELECT DISTINCT source AS domain, word FROM ({_tok('documents', 'source')}) WHERE source IS NOT NULL)"
-_COLLECT = f"SELECT domain, word, reading FROM (SELECT domain, word, {_fold('word')} AS reading, row_number() OVER (PARTITION BY domain ORDER BY word) AS rn FROM {_DOMAIN} WHERE regexp_full_match(word, '[a-zß-öø-ÿ]{{1,6}}') AND regexp_full_match({_fold('word')}, '[\\x00-\\x7F]+') AND regexp_matches({_fold('word')}, '[a-z]')) WHERE rn <= 500"
+_COLLECT = f"SELECT domain, word, reading FROM (SELECT domain, word, {_fold('word')} AS reading, row_number() OVER (PARTITION BY domain ORDER BY word) AS rn FROM {_DOMAIN} WHERE regexp_full_match(word, '[a-zß-öø-ÿ]{{1,6}}') AND regexp_full_match({_fold('word')}, '[\\x00-\\x7F]+') AND regexp_matches({_fold('word')}, '[a-z]')) WHERE rn <= {CAP}"
 _CAPPED = f"SELECT domain, word, freq FROM (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY freq DESC, word) AS rn FROM (SELECT source AS domain, word, count(*) AS freq FROM ({_tok('documents', 'source')}) WHERE source IS NOT NULL GROUP BY ALL)) WHERE rn <= {CAP}"
 _READ = f"SELECT word, {_fold('word')} AS reading, length(word) AS n_chars FROM w WHERE NOT {_garbage('word')} AND regexp_matches({_fold('word')}, '[a-z]')"
 _SUSPECT = f"SELECT ch FROM ({_CHARS}) WHERE {_fold('ch')} <> ch"
@@ -352,14 +383,14 @@ g AS (SELECT 'r' || r_regionkey AS node, 0 AS depth FROM region WHERE r_regionke
     "domain_collect": _COLLECT,
     "domain_subset": f"SELECT * FROM ({_COLLECT}) WHERE domain IN ({', '.join(f"'{x}'" for x in DOMAINS)})",
     "domain_cap": _CAPPED,
-    "domain_clean": f"SELECT source AS domain, word, {_fold('word')} AS reading, min(doc_id * 1000000 + pos) AS ord FROM {_PLACED} WHERE source IS NOT NULL AND NOT {_garbage('word')} GROUP BY ALL",
+    "domain_clean": f"SELECT source AS domain, word, {_fold('word')} AS reading, min(row(doc_id, pos))[1] AS doc_id, min(row(doc_id, pos))[2] AS pos FROM {_PLACED} WHERE source IS NOT NULL AND NOT {_garbage('word')} GROUP BY domain, word, reading",
     "domain_counts": f"SELECT coalesce(domain, '(all)') AS domain, count(*) AS n FROM {_DOMAIN} GROUP BY ROLLUP (domain)",
     "domain_override": f"SELECT domain, word FROM ({_CAPPED}) WHERE domain NOT IN ('src1', 'extra') UNION ALL SELECT * FROM (VALUES ('src1', 'alpha'), ('src1', 'beta'), ('extra', 'gamma'))",
     "fill_merge": f"WITH {_W}, {_C} SELECT word, freq, 'base' AS source FROM w UNION ALL SELECT word, 1, 'extra' FROM c WHERE word NOT IN (SELECT word FROM w)",
     "anti_new_words": f"SELECT DISTINCT word FROM ({_tok('benchmark')}) WHERE word NOT IN (SELECT word FROM ({_tok('documents')}))",
     "last_wins": "SELECT user_id, arg_max(event_type, row(ts, event_id)) AS event_type, min(row(ts, event_id))[1] AS ts, min(row(ts, event_id))[2] AS event_id FROM events GROUP BY user_id",
     "first_wins": "SELECT p_name, p_size, min(p_partkey) AS p_partkey, arg_min(p_brand, p_partkey) AS p_brand FROM part GROUP BY p_name, p_size",
-    "fold_max_wins": f"WITH f AS (SELECT word AS form, {_fold('word')} AS word, count(*) AS freq, min(doc_id * 1000000 + pos) AS ord FROM {_PLACED} WHERE NOT {_garbage('word')} GROUP BY form) SELECT word, max(freq) AS freq, arg_max(form, row(freq, -ord)) AS form, min(ord) AS ord FROM f GROUP BY word",
+    "fold_max_wins": f"WITH f AS (SELECT word AS form, {_fold('word')} AS word, count(*) AS freq, min(row(doc_id, pos)) AS o FROM {_PLACED} WHERE NOT {_garbage('word')} GROUP BY form) SELECT word, max(freq) AS freq, arg_min(form, row(-freq, o)) AS form, min(o)[1] AS doc_id, min(o)[2] AS pos FROM f GROUP BY word",
     "factor_flatten": f"SELECT * FROM {_map(BOOST)}",
     "config_explode": "SELECT * FROM (VALUES " + ", ".join(f"('{k}', '{c}', {v[1]})" for k, v in CONFIG.items() for c in v[0]) + ") v(domain, category, max_depth)",
     "factor_apply": f"WITH {_W} " + _ADJ.format(src="w"),
@@ -368,7 +399,7 @@ g AS (SELECT 'r' || r_regionkey AS node, 0 AS depth FROM region WHERE r_regionke
     "script_split": f"WITH {_W} SELECT word, freq, {_CLASS} AS class FROM w",
     "script_split_counts": f"WITH {_W} SELECT {_CLASS} AS class, count(*) AS n, CAST(sum(freq) AS BIGINT) AS freq FROM w GROUP BY 1",
     "dual_write": f"WITH {_W}, k AS (SELECT * FROM w WHERE NOT {_garbage('word')}) SELECT side, word, max(freq) AS freq FROM (SELECT 'plain' AS side, {_fold('word')} AS word, freq FROM k UNION ALL SELECT 'variant', word, freq FROM k WHERE {_fold('word')} <> word) GROUP BY side, word",
-    "system_build": f"WITH {_W}, {_C}, m AS (SELECT word, freq FROM w UNION ALL SELECT word, 1 FROM c WHERE word NOT IN (SELECT word FROM w)), p AS (SELECT * FROM m WHERE {_CLASS} = 'plain'), a AS ({_ADJ.format(src='p')}) SELECT 'plain' AS side, word, CAST({_log('freq', '(SELECT max(freq) FROM a)')} AS BIGINT) AS freq FROM a UNION ALL SELECT 'variant', word, freq FROM m WHERE {_CLASS} = 'variant'",
+    "system_build": f"WITH {_W.replace('w AS (', 'w AS MATERIALIZED (')}, {_C}, m AS MATERIALIZED (SELECT word, freq FROM w UNION ALL SELECT word, 1 FROM c WHERE NOT EXISTS (SELECT 1 FROM w WHERE w.word = c.word)), p AS (SELECT * FROM m WHERE {_CLASS} = 'plain'), a AS MATERIALIZED ({_ADJ.format(src='p')}), top AS (SELECT max(freq) AS top FROM a) SELECT 'plain' AS side, word, CAST({_log('freq', 'top')} AS BIGINT) AS freq FROM a, top UNION ALL SELECT 'variant', word, freq FROM m WHERE {_CLASS} = 'variant'",
     "readings": f"WITH {_W} {_READ}",
     "homophones": f"WITH {_W} SELECT reading, count(*) AS n, min(word) AS first FROM ({_READ}) GROUP BY reading HAVING count(*) > 1",
     "common_rank": _RANK,
@@ -384,5 +415,7 @@ g AS (SELECT 'r' || r_regionkey AS node, 0 AS depth FROM region WHERE r_regionke
     "manifest_reconcile": "SELECT doc_id, CASE WHEN doc_id % 10 = 7 THEN 'missing' WHEN doc_id % 10 = 3 AND text IS NOT NULL THEN 'changed' ELSE 'match' END AS status FROM documents",
     "next_version": f"SELECT previous, '{TODAY}.' || CASE WHEN starts_with(previous, '{TODAY}.') THEN coalesce(try_cast(regexp_extract(previous, '([^.]*)$', 1) AS INT), 0) + 1 ELSE 1 END AS version FROM (VALUES {', '.join(f"('{v}')" for v in VERSIONS)}) v(previous)",
     "batching": "SELECT CAST(floor(rn / 2000) AS BIGINT) AS batch, count(*) AS n FROM (SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber) - 1 AS rn FROM lineitem) GROUP BY 1",
+    "domain_files_round_trip": f"SELECT dense_rank() OVER (ORDER BY domain || '.txt') - 1 AS domain_id, domain, word, reading FROM ({_COLLECT})",
+    "ranked_file_round_trip": "SELECT row_number() OVER (ORDER BY item_id) - 1 AS rank, lower(word) AS reading, word FROM (SELECT item_id, regexp_extract(text, '^\\S+') AS word FROM benchmark) WHERE word <> ''",
     "candidates": f"WITH {_W}, cm AS (SELECT * FROM (VALUES (0, 'de', 'de'), (1, 'e', 'é'), (2, 'la', 'là')) v(rank, reading, word)), s AS (SELECT word, freq, {_fold('word')} AS reading FROM w WHERE NOT {_garbage('word')} AND {_fold('word')} IN ('de', 'e', 'la', 'u')) SELECT reading, word, 0 AS tier, CAST(rank AS BIGINT) AS place FROM cm UNION ALL SELECT reading, word, 1, -freq FROM s WHERE word NOT IN (SELECT word FROM cm)",
 }

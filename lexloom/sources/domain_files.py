@@ -12,22 +12,26 @@ from lexloom.operators import dedupe, lexicon
 def write_txt(df: DataFrame, path: str, header: list[str]) -> None:
     """``path/DOMAIN.txt`` for every domain of ``df (domain, ord, word, reading)``: header comments, then ``word<TAB>reading``.
 
-    A domain is capped before it comes here, so that a file is one row.
+    Domains are dealt out by name and sorted inside a task, which writes each
+    one's lines as they come, to one file.
     """
-    lines = F.transform(F.array_sort(F.collect_list(F.struct("ord", F.concat("word", F.lit("\t"), "reading").alias("line")))), lambda x: x["line"])
-    head = "".join(f"# {h}\n" for h in header)
-    rows = df.groupBy("domain").agg(F.concat(F.lit(head), F.array_join(lines, "\n")).alias("value"))
-    rows.write.mode("overwrite").partitionBy("domain").text(path)
-    jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    spark, lines = df.sparkSession, F.concat("word", F.lit("\t"), "reading")
+    heads = spark.createDataFrame([(i, f"# {h}") for i, h in enumerate(header)], "_n int, value string")
+    rows = df.select("domain", F.lit(1).alias("_part"), F.col("ord").cast("bigint").alias("_n"), lines.alias("value"))
+    rows = rows.unionByName(df.select("domain").distinct().crossJoin(F.broadcast(heads)).select("domain", F.lit(0).alias("_part"), F.col("_n").cast("bigint").alias("_n"), "value"))
+    rows = rows.repartition("domain").sortWithinPartitions("domain", "_part", "_n")
+    rows.select("domain", "value").write.mode("overwrite").partitionBy("domain").text(path)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     top = jvm.org.apache.hadoop.fs.Path(path)
     fs = top.getFileSystem(conf)
     for folder in fs.listStatus(top):
         at = folder.getPath()
         if not at.getName().startswith("domain="):
             continue
+        name = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(at.getName()[7:])
         for f in fs.listStatus(at):
             if f.getPath().getName().startswith("part-"):
-                fs.rename(f.getPath(), jvm.org.apache.hadoop.fs.Path(top, at.getName()[7:] + ".txt"))
+                fs.rename(f.getPath(), jvm.org.apache.hadoop.fs.Path(top, name + ".txt"))
         fs.delete(at, True)
 
 

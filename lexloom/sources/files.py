@@ -31,6 +31,14 @@ def read_base(spark: SparkSession, path: str, profile: Profile) -> DataFrame:
     return parsing.base_entries(spark.read.text(path)).where(script.is_word(F.col("word"), profile))
 
 
+def read_base_placed(spark: SparkSession, path: str, profile: Profile) -> DataFrame:
+    """As :func:`read_base`, with the line's number as ``ord``."""
+    rows = spark.read.option("wholetext", True).text(path).select(F.posexplode(parsing.lines(F.col("value"))).alias("ord", "value"))
+    found = rows.select("ord", parsing.fields(F.col("value")).alias("p")).where((F.size("p") >= 2) & F.get("p", F.lit(1)).rlike("^[0-9]+$"))
+    found = found.select("ord", F.get("p", F.lit(0)).alias("word"), F.get("p", F.lit(1)).cast("bigint").alias("freq"))
+    return found.where(script.is_word(F.col("word"), profile))
+
+
 def _placed(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """``file, ord, line`` of whole text files; a file is one row, so keep them small."""
     reader = spark.read.option("wholetext", True)

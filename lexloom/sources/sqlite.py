@@ -1,21 +1,18 @@
 """SQLite tables as a Spark data source: ``format("sqlite_table")``, options ``path`` and ``table``.
 
-A database is one local file, so it is read and written by one task; Parquet is
-the native sink.  Writing replaces the table, in the order of the column
-``id``, ``rank`` or else of the rows.
+A database is one file, so one task reads it (from a path that executors see)
+and the driver writes it; Parquet is the native sink.
 """
 
 from __future__ import annotations
 
 import os
-import pickle
 import re
 import sqlite3
-import tempfile
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceReader
 from pyspark.sql.types import BooleanType, DoubleType, FloatType, IntegerType, LongType, ShortType, StructType
 
 _NAME = re.compile(r"[A-Za-z_][A-Za-z_0-9]*")
@@ -36,59 +33,6 @@ class _Reader(DataSourceReader):
             yield from db.execute(f"SELECT {', '.join(self.columns)} FROM {self.table}")
 
 
-class _Done(WriterCommitMessage):
-    def __init__(self, part: str):
-        self.part = part
-
-
-class _Writer(DataSourceWriter):
-    """Each task leaves its rows in a file beside the database; the driver puts them in."""
-
-    def __init__(self, options, schema: StructType):
-        self.path, self.table, self.schema = options["path"], _named(options["table"]), schema
-        self.indexes = [_named(c) for c in options.get("index", "").split(",") if c]
-
-    def write(self, rows) -> _Done:
-        handle, part = tempfile.mkstemp(suffix=".part", dir=os.path.dirname(os.path.abspath(self.path)))
-        with os.fdopen(handle, "wb") as f:
-            for row in rows:
-                pickle.dump(tuple(row), f)
-        return _Done(part)
-
-    @staticmethod
-    def _rows(parts: list[str]) -> Iterator[tuple]:
-        for p in parts:
-            with open(p, "rb") as f:
-                while True:
-                    try:
-                        yield pickle.load(f)
-                    except EOFError:
-                        break
-
-    def _kind(self, kind) -> str:
-        if isinstance(kind, (LongType, IntegerType, ShortType, BooleanType)):
-            return "INTEGER"
-        return "REAL" if isinstance(kind, (DoubleType, FloatType)) else "TEXT"
-
-    def commit(self, messages) -> None:
-        parts = [m.part for m in messages if m]
-        columns = ", ".join(f"{_named(f.name)} {self._kind(f.dataType)}" for f in self.schema.fields)
-        db = sqlite3.connect(self.path)
-        with db:
-            db.execute(f"DROP TABLE IF EXISTS {self.table}")
-            db.execute(f"CREATE TABLE {self.table} ({columns})")
-            db.executemany(f"INSERT INTO {self.table} VALUES ({', '.join('?' * len(self.schema.fields))})", self._rows(parts))
-            for c in self.indexes:
-                db.execute(f"CREATE INDEX {self.table}_{c} ON {self.table}({c})")
-        db.close()
-        self.abort(messages)
-
-    def abort(self, messages) -> None:
-        for m in messages:
-            if m and os.path.exists(m.part):
-                os.remove(m.part)
-
-
 class SqliteTable(DataSource):
     @classmethod
     def name(cls):
@@ -103,15 +47,38 @@ class SqliteTable(DataSource):
     def reader(self, schema):
         return _Reader(self.options, schema)
 
-    def writer(self, schema, overwrite):
-        return _Writer(self.options, schema)
 
-
-def write(df: DataFrame, path: str, table: str, order: str | None = None, index: str = "") -> None:
-    """Write a table in the given order; one task writes, as the file allows one writer."""
-    df.sparkSession.dataSource.register(SqliteTable)
-    rows = df.coalesce(1).sortWithinPartitions(order) if order else df.coalesce(1)
-    rows.write.format("sqlite_table").mode("overwrite").option("path", path).option("table", table).option("index", index).save()
+def _kind(kind) -> str:
+    if isinstance(kind, (LongType, IntegerType, ShortType, BooleanType)):
+        return "INTEGER"
+    return "REAL" if isinstance(kind, (DoubleType, FloatType)) else "TEXT"
+
+
+def write(df: DataFrame, path: str, table: str, order: str | None = None, index: str = "", constraints: dict[str, str] | None = None, primary: str = "") -> None:
+    """Replace a table of the database, rows in the given order.
+
+    Rows are sorted on the executors and come to the driver a partition at a
+    time; only the driver opens the file.  ``constraints`` follow a column's
+    type, ``index`` and ``primary`` list columns.
+    """
+    found = constraints or {}
+    columns = [f"{_named(f.name)} {_kind(f.dataType)} {found.get(f.name, '')}".strip() for f in df.schema.fields]
+    if primary:
+        columns.append(f"PRIMARY KEY ({', '.join(_named(c.strip()) for c in primary.split(','))})")
+    rows = (df.orderBy(order) if order else df).toLocalIterator()
+    os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
+    db = sqlite3.connect(path, isolation_level=None)
+    try:
+        db.execute("BEGIN")
+        db.execute(f"DROP TABLE IF EXISTS {_named(table)}")
+        db.execute(f"CREATE TABLE {table} ({', '.join(columns)})")
+        db.executemany(f"INSERT INTO {table} VALUES ({', '.join('?' * len(df.columns))})", map(tuple, rows))
+        for c in index.split(","):
+            if c:
+                db.execute(f"CREATE INDEX idx_{table}_{_named(c)} ON {table}({c})")
+        db.execute("COMMIT")
+    finally:
+        db.close()
 
 
 def read(spark: SparkSession, path: str, table: str) -> DataFrame:
@@ -120,7 +87,9 @@ def read(spark: SparkSession, path: str, table: str) -> DataFrame:
 
 
 def tables(path: str) -> dict[str, int]:
-    """Row counts of a database's own tables."""
+    """Row counts of a database's own tables; a missing file has none."""
+    if not os.path.exists(path):
+        return {}
     with sqlite3.connect(f"file:{path}?mode=ro", uri=True) as db:
-        names = [r[0] for r in db.execute("SELECT name FROM sqlite_master WHERE type = 'table'") if not r[0].startswith("sqlite")]
-        return {n: db.execute(f"SELECT count(*) FROM {_named(n)}").fetchone()[0] for n in names}
+        counts = db.execute("SELECT group_concat('SELECT ' || quote(name) || ', count(*) FROM \"' || name || '\"', ' UNION ALL ') FROM sqlite_schema WHERE type = 'table' AND name NOT GLOB 'sqlite*'").fetchone()[0]
+        return dict(db.execute(counts)) if counts else {}

@@ -136,3 +136,68 @@ def test_stream_equals_batch(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sorted(tuple(r) for r in spark.table("counts").collect()) == [("a", 6), ("b", 2)]
+
+
+def test_whole_build(spark, tmp_path):
+    """Files to databases, gates, manifest and a published copy, with a small Han profile."""
+    from lexloom.functions.script import Profile
+    from lexloom.plans import build
+
+    spoken = dict(zip("电脑学中文银行電腦學", ["dian", "nao", "xue", "zhong", "wen", "yin", "hang", "dian", "nao", "xue"], strict=True))
+    han = Profile("han", "一-鿿", 6, "電腦學", "电脑学", "电脑学中文银行", 0x4E00, spoken)
+    (tmp_path / "base.txt").write_text("电脑 100 n\n電腦 8\n中文 7\n中文 9\nno 5\n银行 x\n", encoding="utf-8")
+    (tmp_path / "ranked.txt").write_text("zhong\t中\nzhong\t中\n", encoding="utf-8")
+    (tmp_path / "boost.yaml").write_text("中文: 2\n", encoding="utf-8")
+    titles = spark.createDataFrame([("it", "電腦 (x)"), ("it", "学文"), ("it", "龘"), ("edu", "文学"), ("edu", "中文")], "domain string, title string")
+    out, at = tmp_path / "out", datetime.datetime(2024, 5, 6, 7, 8, 9)
+    sources = build.Sources(str(tmp_path / "base.txt"), titles, str(tmp_path / "ranked.txt"), str(tmp_path / "boost.yaml"))
+    found = build.build(spark, sources, str(out), han, at)
+    assert (out / "domains" / "it.txt").read_text(encoding="utf-8").splitlines()[3:] == ["学文\txuewen", "電腦\tdiannao"]
+    rows = lambda db, sql: sqlite3.connect(str(out / db)).execute(sql).fetchall()
+    assert rows("system.db", "SELECT id, word, pinyin, frequency FROM system_dict ORDER BY id") == [(1, "电脑", "diannao", 5000), (2, "中文", "zhongwen", 3138), (3, "文学", "wenxue", 1), (4, "学文", "xuewen", 1)]
+    assert rows("system.db", "SELECT id, word, frequency FROM system_dict_trad") == [(1, "電腦", 8)]
+    assert rows("domains.db", "SELECT word, pinyin, domain_id, domain_name FROM domain_words ORDER BY domain_id, word") == [("中文", "zhongwen", 0, "edu"), ("文学", "wenxue", 0, "edu"), ("学文", "xuewen", 1, "it"), ("电脑", "diannao", 1, "it")]
+    assert rows("domains.db", "SELECT word FROM domain_words_trad") == [("電腦",)]
+    assert rows("common.db", "SELECT * FROM common_words") == [(0, "zhong", "中"), (1, "zhong", "中")]
+    assert found["version"] == "2024.05.06.1" and set(found["dicts"]) == {"system.db", "domains.db", "common.db", "domains/it.txt", "domains/edu.txt"}
+    assert found["dicts"]["domains.db"]["rows"] == {"domain_words": 4, "domain_words_trad": 1}
+    assert build.build(spark, sources, str(out), han, at)["version"] == "2024.05.06.2"
+    again = manifest.publish(spark, str(out), str(tmp_path / "live"), manifest.load(str(out / "version.json")), "*.{db,txt}")
+    assert {r["status"] for r in again.collect()} == {"match"} and (tmp_path / "live" / "domains" / "it.txt").exists()
+    # Missing inputs and tables.
+    with pytest.raises(FileNotFoundError):
+        build.write_ranked(spark, str(tmp_path / "none.txt"), str(out / "x.db"))
+    assert build.check_database(spark, str(out / "none.db"), build.SYSTEM_TABLES, han).first()["status"] == "FAIL"
+    assert build.check_database(spark, str(out / "common.db"), build.SYSTEM_TABLES, han).first()["status"] == "FAIL"
+
+
+def test_commit_and_equal_names(spark, tmp_path):
+    (tmp_path / ".git" / "refs" / "heads").mkdir(parents=True)
+    (tmp_path / ".git" / "HEAD").write_text("ref: refs/heads/main\n")
+    assert manifest.commit(str(tmp_path)) == "unknown"
+    (tmp_path / ".git" / "packed-refs").write_text("# pack-refs\n0123456789abcdef refs/heads/main\n")
+    assert manifest.commit(str(tmp_path)) == "0123456"
+    (tmp_path / ".git" / "refs" / "heads" / "main").write_text("fedcba9876543210\n")
+    assert manifest.commit(str(tmp_path)) == "fedcba9"
+    for n in "ab":
+        (tmp_path / "src" / n).mkdir(parents=True)
+        (tmp_path / "src" / n / "x.db").write_text(n)
+    found = manifest.manifest(manifest.artefacts(spark, str(tmp_path / "src")), {}, None, datetime.datetime(2024, 5, 6))
+    assert set(found["dicts"]) == {"a/x.db", "b/x.db"}
+    assert {r["status"] for r in manifest.publish(spark, str(tmp_path / "src"), str(tmp_path / "dst"), found).collect()} == {"match"}
+    assert [(tmp_path / "dst" / n / "x.db").read_text() for n in "ab"] == ["a", "b"]
+
+
+def test_marks_and_caps(spark):
+    from pyspark.sql import functions as F
+
+    from lexloom.functions import parsing
+    from lexloom.operators import gates, ranking
+
+    lines = spark.createDataFrame([("﻿ # c",), (" ﻿\tword ",)], "v string").select(parsing.without_marks(F.col("v")).alias("v"))
+    assert [r["v"] for r in lines.collect()] == ["# c", "word"]
+    rows = spark.range(40).select((F.col("id") % 2).alias("d"), "id")
+    assert sorted(r["id"] for r in ranking.capped(rows, ["d"], [F.desc("id")], 3).collect()) == [34, 35, 36, 37, 38, 39]
+    words = spark.createDataFrame([("été",), ("ane",), ("âne",), ("âne",)], "word string")
+    assert sorted(r["word"] for r in gates.suspect_words(words, LATIN, "é").collect()) == ["âne"]
+    assert gates.plain_gate(words, LATIN).first()["suspects"] == 2
