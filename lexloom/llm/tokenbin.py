@@ -60,11 +60,12 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-def _visible() -> dict[int, str]:
-    """The character by which byte-level vocabularies write every byte: itself where it can be seen, else the next one from U+0100 on."""
-    seen = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    rest = [b for b in range(256) if b not in seen]
-    return {b: chr(b) if b in seen else chr(256 + rest.index(b)) for b in range(256)}
+def _visible() -> np.ndarray:
+    """The code point by which byte-level vocabularies write every byte: its own where that can be seen, else the next one from U+0100 on."""
+    out = np.arange(256, dtype="<u2")
+    hidden = np.array([*range(0x21), *range(0x7F, 0xA1), 0xAD])
+    out[hidden] = 256 + np.arange(len(hidden))
+    return out
 
 
 _VISIBLE = _visible()
@@ -142,14 +143,6 @@ def _kinds(added: list[str]) -> np.ndarray:
     return out
 
 
-def _pure(kinds: np.ndarray):
-    """Whether a piece is a line feed, or characters of one certain kind with or without a blank before them."""
-    letters, digits, signs = (re.escape(bytes(np.flatnonzero(kinds == k).tolist())) for k in (1, 2, 3))
-    latin = rb"|\xC3[\x80-\x96\x98-\xB6\xB8-\xBF]"
-    runs = [b"(?:[" + letters + b"]" + latin + b")+", *(b"[" + x + b"]+" for x in (digits, signs) if x)]
-    return re.compile(b"\n| ?(?:" + b"|".join(runs) + b")").fullmatch
-
-
 class Encoder:
     """Encodes runs of texts; pieces are remembered from run to run."""
 
@@ -163,24 +156,30 @@ class Encoder:
         self.by_piece = parts.get("normalizer") is None and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space", True) and pre.get("use_regex", True)
         self.by_piece = self.by_piece and not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") or re.search(r"\s", t["content"]) for t in added)
         self.kinds = _kinds([t["content"] for t in added])
-        self.tokenize, self.pure = self.library.model.tokenize, _pure(self.kinds)
+        self.tokenize = self.library.model.tokenize
         self.memo, self.older = Memo(), Memo()
 
     def forget(self) -> None:
         """Begin a new memo; pieces of the present one are entered there as they are met again."""
         self.memo, self.older = Memo(), self.memo
 
-    def _learn(self, keys: np.ndarray, pieces: list[bytes]) -> None:
+    def _learn(self, keys: np.ndarray, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
         """Enter distinct pieces that the memo lacks; a pure one is what the pre-tokenizer gives the model at a time."""
         at, older = self.older.find(keys), self.older
-        got: list = [older.ids[older.cuts[i] : older.cuts[i + 1]].tolist() if i >= 0 else None for i in at.tolist()]
-        others = []
-        for i in np.flatnonzero(at < 0).tolist():
-            if self.pure(pieces[i]):
-                got[i] = [t.id for t in self.tokenize(pieces[i].decode("latin-1").translate(_VISIBLE))]
+        unsure = np.flatnonzero(self._kind(raw) == 0)
+        unsure = unsure[(raw[unsure] != 10) & (raw[unsure] != 32)]
+        pure = np.searchsorted(unsure, starts) == np.searchsorted(unsure, ends)
+        seen = _VISIBLE[raw].tobytes().decode("utf-16-le")
+        got, others, tokenize = [], [], self.tokenize
+        for i, a, b, known in zip(at.tolist(), starts.tolist(), ends.tolist(), pure.tolist(), strict=True):
+            if i >= 0:
+                got.append(older.ids[older.cuts[i] : older.cuts[i + 1]].tolist())
+            elif known:
+                got.append([t.id for t in tokenize(seen[a:b])])
             else:
-                others.append(i)
-        for i, ids in zip(others, self.whole([pieces[i].decode("utf-8", "replace") for i in others]), strict=True):
+                others.append((len(got), raw[a:b].tobytes().decode("utf-8", "replace")))
+                got.append(None)
+        for (i, _), ids in zip(others, self.whole([x for _, x in others]), strict=True):
             got[i] = ids
         self.memo.learn(keys, got)
 
@@ -205,9 +204,9 @@ class Encoder:
         at[short] = memo.find(keys[short])
         if (missing := np.flatnonzero(at < 0)).size:
             new, first, which = np.unique(keys[missing], return_index=True, return_inverse=True)
-            first, data = missing[first], raw.tobytes()
+            first = missing[first]
             at[missing] = memo.n + which
-            self._learn(new, [data[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)])
+            self._learn(new, raw, starts[first], ends[first])
         begin, size = memo.cuts[at], memo.cuts[at + 1] - memo.cuts[at]
         begin[~short], size[~short] = 0, 0
         held = self.whole([bytes(raw[offsets[i] : offsets[i + 1]]).decode("utf-8", "replace") for i in own])
@@ -220,13 +219,18 @@ class Encoder:
             flat[stop[i] : stop[i + 1]] = x
         return flat, stop[piece_cuts]
 
-    def _pieces(self, raw: np.ndarray, offsets: np.ndarray, plain: np.ndarray) -> np.ndarray:
-        """Where pieces begin; a text that isn't plain is one piece."""
+    def _kind(self, raw: np.ndarray) -> np.ndarray:
+        """Kind of every byte, with letters of two bytes."""
         kind = self.kinds[raw]
         # U+00C0 to U+00FF are letters but for the signs of multiplication and division.
         lead = np.flatnonzero(raw[:-1] == 0xC3)
         lead = lead[(raw[lead + 1] != 0x97) & (raw[lead + 1] != 0xB7)]
         kind[lead] = kind[lead + 1] = 1
+        return kind
+
+    def _pieces(self, raw: np.ndarray, offsets: np.ndarray, plain: np.ndarray) -> np.ndarray:
+        """Where pieces begin; a text that isn't plain is one piece."""
+        kind = self._kind(raw)
         feed, cut = raw == 10, np.zeros(len(raw) + 1, bool)
         cut[1:-1] = (kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0)
         cut[1:] |= feed
