@@ -112,6 +112,33 @@ def test_domain_txt(spark, tmp_path):
     assert files.read_domains(spark, out).count() == 3
 
 
+def test_domain_txt_of_a_window(spark, tmp_path):
+    """A frame that is already dealt out by domain: still one file each, with all rows behind the header."""
+    from pyspark.sql import Window as W
+    from pyspark.sql import functions as F
+
+    made = spark.range(0, 6_000, numPartitions=4).select(F.concat(F.lit("d"), (F.col("id") % 20).cast("string")).alias("domain"), F.concat(F.lit("w"), F.col("id").cast("string")).alias("word"))
+    df = made.withColumn("reading", F.col("word")).withColumn("ord", F.row_number().over(W.partitionBy("domain").orderBy("word")))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "6")
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16k")
+        domain_files.write_txt(df, str(tmp_path / "out"), ["one", "two"])
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    texts = {p.name: p.read_text().splitlines() for p in (tmp_path / "out").glob("*.txt")}
+    assert len(texts) == 20 and all(t[:2] == ["# one", "# two"] and len(t) == 302 and t[2:] == sorted(t[2:]) for t in texts.values())
+    assert files.read_domains(spark, str(tmp_path / "out")).count() == 6_000
+
+
+def test_domain_txt_names(spark, tmp_path):
+    for name in ("_x", ".x", "a/b", "", None):
+        with pytest.raises(ValueError, match="name"):
+            domain_files.write_txt(spark.createDataFrame([(name, 0, "a", "a")], "domain string, ord int, word string, reading string"), str(tmp_path / "out"), ["one"])
+
+
 def test_manifest_and_publish(spark, tmp_path):
     src, dst = tmp_path / "src", tmp_path / "dst"
     src.mkdir(), dst.mkdir()
