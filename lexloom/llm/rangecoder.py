@@ -107,7 +107,7 @@ def _predicted(grid: np.ndarray, lengths: np.ndarray, distinct: np.ndarray, out:
     before[0, 1:], before[1, 2:] = grid[:-1], grid[:-2]
     one, two = before.reshape(2, -1)
     seen = [_followers((lane << 12) | one, s, steps, n), _followers((lane << 12) | _place2(one, two), s, steps, n)]
-    lane, s = lane.astype(np.int64), s.astype(np.int64)
+    lane = lane.astype(np.int64)
     live = np.arange(steps)[:, None] < lengths
     whole = bool(live.all())
     counts = np.zeros((n, width), np.int32)
@@ -120,17 +120,20 @@ def _predicted(grid: np.ndarray, lengths: np.ndarray, distinct: np.ndarray, out:
         total0 = start[:, -1] + size[:, -1]
         part, own = slice(begin * n, end * n), lane[begin * n : end * n]
         x = s[part]
-        at = own * width + x
+        at = own * width
+        at += x
+        own = own * (2 * _LEVELS)
         cum, freq, total = start.reshape(-1).take(at), size.reshape(-1).take(at), np.tile(total0, end - begin)
         known = slice(None) if whole else live[begin:end].reshape(-1)
         for said, record in zip(seen, records, strict=True):
             held = said[part].astype(np.int32)
-            w = _weights(record, total0).astype(np.int32).reshape(-1).take(own * _LEVELS + ((held >> 1) & (_LEVELS - 1)))
             name = held >> 4
+            held &= 2 * _LEVELS - 1
+            place = own + held
+            w = _weights(record, total0).astype(np.int32).reshape(-1).take(place >> 1)
             cum += w * (name < x)
             freq += w * (name == x)
             total += w
-            place = own * (2 * _LEVELS) + (held & (2 * _LEVELS - 1))
             record += np.bincount(place[known], minlength=record.size).reshape(record.shape)
         for field, values in zip(out, (cum, freq, total), strict=True):
             field[begin:end] = values.reshape(end - begin, n)
@@ -160,13 +163,13 @@ def _encode_lanes(seqs: list[np.ndarray], distinct: np.ndarray) -> list[bytes]:
         lo, r = low[:m], np.floor(size[:m] / total[step, :m])
         lo += cum[step, :m] * r
         r *= freq[step, :m]
-        again = np.flatnonzero(r < _LEAST)
-        held, at = lo[again], count[again]
+        again = (r < _LEAST).nonzero()[0]
+        held, at = lo.take(again), count.take(again)
         top = np.floor(held * (1 / _LEAST))
-        words[base[again] + at] = top
+        words[base.take(again) + at] = top
         count[again] = at + 1
         lo[again] = (held - top * _LEAST) * _WORD
-        r[again] *= _WORD
+        r[again] = r.take(again) * _WORD
         size[:m] = r
     for top in (np.floor(low * (1 / _LEAST)), low % _LEAST):
         words[base + count] = top
@@ -203,8 +206,8 @@ class _Order:
     def predict(self, m: int, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The number named and its weight."""
         self.slot = slot + self.base[:m]
-        held = self.named.take(self.slot).astype(np.int64)
-        self.name, self.sure = held >> 4, held & 15
+        held = self.named.take(self.slot)
+        self.name, self.sure = (held >> 4).astype(np.int64), (held & 15).astype(np.int64)
         return self.name, self.weight.take(self.levels[:m] + (self.sure >> 1))
 
     def learn(self, step: int, m: int, s: np.ndarray) -> None:
@@ -257,12 +260,12 @@ def _decode_lanes(payloads: list[bytes], lengths: np.ndarray, distinct: np.ndarr
         total = total0[:m] + w1
         total += w2
         r = np.floor(size[:m] / total)
-        t = np.minimum((rel[:m] / r).astype(np.int64), total - 1)
+        t = np.minimum(rel[:m] / r, total - 1).astype(np.int32)
         # Where both name the same number, all weight is the first one's.
         joint = w2 * (n1 == n2)
         w1 += joint
         w2 -= joint
-        span1, span2 = spans.take(own + n1).astype(np.int64), spans.take(own + n2).astype(np.int64)
+        span1, span2 = spans.take(own + n1), spans.take(own + n2)
         lo1, lo2 = (span1 >> 16) + w2 * (n2 < n1), (span2 >> 16) + w1 * (n1 <= n2)
         hi1, hi2 = lo1 + (span1 & 0xFFFF), lo2 + (span2 & 0xFFFF)
         hi1 += w1
@@ -270,21 +273,26 @@ def _decode_lanes(payloads: list[bytes], lengths: np.ndarray, distinct: np.ndarr
         past1, past2 = t >= hi1, t >= hi2
         in1, in2 = (t >= lo1) > past1, (t >= lo2) > past2
         s, lo, hi = np.where(in1, n1, n2), np.where(in1, lo1, lo2), np.where(in1, hi1, hi2)
-        rest = np.flatnonzero(~(in1 | in2))
+        rest = (~(in1 | in2)).nonzero()[0]
         if len(rest):
-            above = (w1 * past1 + w2 * past2)[rest]
-            plain = t[rest] - above
-            x = table.take(look[rest] + np.minimum(plain, _TOTAL - 1)).astype(np.int64)
-            span = spans.take(row[rest] + x).astype(np.int64)
+            w1 *= past1
+            w2 *= past2
+            w1 += w2
+            above = w1.take(rest)
+            plain = t.take(rest)
+            plain -= above
+            np.minimum(plain, _TOTAL - 1, out=plain)
+            x = table.take(look.take(rest) + plain).astype(np.int64)
+            span = spans.take(row.take(rest) + x)
             above += span >> 16
             s[rest], lo[rest], hi[rest] = x, above, above + np.maximum(span & 0xFFFF, 1)
         hi -= lo
         left, wide = rel[:m] - lo * r, hi * r
-        again = np.flatnonzero(wide < _LEAST)
-        place = at[again]
-        left[again] = left[again] * _WORD + words.take(place)
-        at[again] = np.minimum(place + 1, last[again])
-        wide[again] *= _WORD
+        again = (wide < _LEAST).nonzero()[0]
+        place = at.take(again)
+        left[again] = left.take(again) * _WORD + words.take(place)
+        at[again] = np.minimum(place + 1, last.take(again))
+        wide[again] = wide.take(again) * _WORD
         rel[:m], size[:m] = left, wide
         first.learn(step, m, s)
         second.learn(step, m, s)
@@ -352,7 +360,7 @@ def decode(data: bytes) -> np.ndarray:
             raise Damaged("list of ids") from None
         if len(raw) not in (2 * d, 4 * d):
             raise Damaged("list of ids")
-        names = first + np.cumsum(np.frombuffer(raw, "<u2" if len(raw) == 2 * d else "<u4").astype(np.int64))
+        names = first + np.cumsum(np.frombuffer(raw, "<u2" if len(raw) == 2 * d else "<u4").astype(np.int64)).astype("<u4")
         heads.append((n, names, data[at + listed : at + listed + payload], data[at : at + listed], crc))
         at += listed + payload
     out = []
@@ -362,8 +370,11 @@ def decode(data: bytes) -> np.ndarray:
         lanes = [part[i] for i in order]
         grid = _decode_lanes([p[2] for p in lanes], np.array([p[0] for p in lanes]), np.array([len(p[1]) for p in lanes])) if lanes else None
         found: dict[int, np.ndarray] = {}
+        by_lane: np.ndarray | None = None
         for lane, (i, (n, names, payload, listed, crc)) in enumerate(zip(order, lanes, strict=True)):
-            ids = names[np.minimum(grid[:n, lane], len(names) - 1)].astype("<u4")
+            if lane % _GROUP == 0:
+                by_lane = grid[:, lane : lane + _GROUP].T.copy()
+            ids = names.take(by_lane[lane % _GROUP, :n], mode="clip")
             if _crc(ids, listed, payload) != crc:
                 raise Damaged("checksum")
             found[i] = ids

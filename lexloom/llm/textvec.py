@@ -115,11 +115,11 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
         s, e = starts[a:b], ends[a:b]
         run = np.zeros(end - at + 1, np.uint64)
         np.cumsum(_BYTE[data[at:end]] * _POW[: end - at], out=run[1:])
-        lo, hi = np.clip(s, at, end) - at, np.clip(e, at, end) - at
+        lo, hi = np.maximum(s, at) - at, np.minimum(e, end) - at
         part = run[hi] - run[lo]
-        inside = s >= at
-        part[inside] *= _INV[lo[inside]]
-        for j in np.flatnonzero(~inside):
+        before = np.searchsorted(s, at)
+        part[before:] *= _INV[lo[before:]]
+        for j in range(before):
             part[j : j + 1] *= U64(pow(_BASE, at - int(s[j]), 1 << 64))
         acc[a:b] += part
     return mix(acc ^ mix((ends - starts).astype(np.uint64)))

@@ -104,15 +104,26 @@ class Memo:
             left = left[~mine]
             slot[left] = (slot[left] + 1) & mask
 
+    def held(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces ``at`` behind each other, and how many each has."""
+        begin, size = self.cuts[at], self.cuts[at + 1] - self.cuts[at]
+        stop = np.cumsum(size)
+        place = np.repeat(begin - stop + size, size)
+        place += np.arange(len(place))
+        return self.ids[place], size
+
     def learn(self, keys: np.ndarray, got: list[list[int]]) -> None:
         """Enter new pieces; they are numbered from ``n`` on."""
-        sizes = np.fromiter(map(len, got), np.int64, len(got))
-        end, n = self.used + int(sizes.sum()), self.n + len(got)
+        self.enter(keys, np.fromiter(chain.from_iterable(got), np.uint32), np.fromiter(map(len, got), np.int64, len(got)))
+
+    def enter(self, keys: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """As :meth:`learn`, of ids behind each other."""
+        end, n = self.used + len(ids), self.n + len(keys)
         while end > len(self.ids):
             self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
         while n + 1 > len(self.cuts):
             self.cuts = np.concatenate((self.cuts, np.zeros_like(self.cuts)))
-        self.ids[self.used : end] = np.fromiter(chain.from_iterable(got), np.uint32, end - self.used)
+        self.ids[self.used : end] = ids
         self.cuts[self.n + 1 : n + 1] = self.used + np.cumsum(sizes)
         if 2 * n > len(self.keys):
             full = np.flatnonzero(self.keys)
@@ -163,25 +174,35 @@ class Encoder:
         """Begin a new memo; pieces of the present one are entered there as they are met again."""
         self.memo, self.older = Memo(), self.memo
 
-    def _learn(self, keys: np.ndarray, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
-        """Enter distinct pieces that the memo lacks; a pure one is what the pre-tokenizer gives the model at a time."""
-        at, older = self.older.find(keys), self.older
-        unsure = np.flatnonzero(self._kind(raw) == 0)
-        unsure = unsure[(raw[unsure] != 10) & (raw[unsure] != 32)]
-        pure = np.searchsorted(unsure, starts) == np.searchsorted(unsure, ends)
-        seen = _VISIBLE[raw].tobytes().decode("utf-16-le")
+    def _learn(self, keys: np.ndarray, raw: np.ndarray, kind: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Enter distinct pieces that the memo lacks, and return their numbers; a pure one is what the pre-tokenizer gives the model at a time."""
+        at, memo, numbers = self.older.find(keys), self.memo, np.empty(len(keys), np.int64)
+        again, new = np.flatnonzero(at >= 0), np.flatnonzero(at < 0)
+        numbers[again] = memo.n + np.arange(len(again))
+        memo.enter(keys[again], *self.older.held(at[again]))
+        if not len(new):
+            return numbers
+        size = ends[new] - starts[new]
+        stop = np.cumsum(size)
+        begin = stop - size
+        place = np.repeat(starts[new] - begin, size)
+        place += np.arange(len(place))
+        own = raw[place]
+        unsure = (kind[place] == 0) & (own != 10) & (own != 32)
+        pure = ~np.logical_or.reduceat(unsure, begin)
+        seen = _VISIBLE[own].tobytes().decode("utf-16-le")
         got, others, tokenize = [], [], self.tokenize
-        for i, a, b, known in zip(at.tolist(), starts.tolist(), ends.tolist(), pure.tolist(), strict=True):
-            if i >= 0:
-                got.append(older.ids[older.cuts[i] : older.cuts[i + 1]].tolist())
-            elif known:
+        for a, b, known in zip(begin.tolist(), stop.tolist(), pure.tolist(), strict=True):
+            if known:
                 got.append([t.id for t in tokenize(seen[a:b])])
             else:
-                others.append((len(got), raw[a:b].tobytes().decode("utf-8", "replace")))
+                others.append((len(got), own[a:b].tobytes().decode("utf-8", "replace")))
                 got.append(None)
         for (i, _), ids in zip(others, self.whole([x for _, x in others]), strict=True):
             got[i] = ids
-        self.memo.learn(keys, got)
+        numbers[new] = memo.n + np.arange(len(new))
+        memo.learn(keys[new], got)
+        return numbers
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -190,7 +211,8 @@ class Encoder:
         """Ids of a run of texts behind each other, and the cuts between texts."""
         raw, offsets = textvec.raw(column)
         plain = self._plain(raw, offsets) if self.by_piece else np.zeros(len(column), bool)
-        starts = self._pieces(raw, offsets, plain)
+        kind = self._kind(raw)
+        starts = self._pieces(raw, kind, offsets, plain)
         ends = np.append(starts[1:], len(raw))
         if self.memo.n > MEMO:
             self.forget()
@@ -205,8 +227,7 @@ class Encoder:
         if (missing := np.flatnonzero(at < 0)).size:
             new, first, which = np.unique(keys[missing], return_index=True, return_inverse=True)
             first = missing[first]
-            at[missing] = memo.n + which
-            self._learn(new, raw, starts[first], ends[first])
+            at[missing] = self._learn(new, raw, kind, starts[first], ends[first])[which]
         begin, size = memo.cuts[at], memo.cuts[at + 1] - memo.cuts[at]
         begin[~short], size[~short] = 0, 0
         held = self.whole([bytes(raw[offsets[i] : offsets[i + 1]]).decode("utf-8", "replace") for i in own])
@@ -228,9 +249,9 @@ class Encoder:
         kind[lead] = kind[lead + 1] = 1
         return kind
 
-    def _pieces(self, raw: np.ndarray, offsets: np.ndarray, plain: np.ndarray) -> np.ndarray:
+    @staticmethod
+    def _pieces(raw: np.ndarray, kind: np.ndarray, offsets: np.ndarray, plain: np.ndarray) -> np.ndarray:
         """Where pieces begin; a text that isn't plain is one piece."""
-        kind = self._kind(raw)
         feed, cut = raw == 10, np.zeros(len(raw) + 1, bool)
         cut[1:-1] = (kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0)
         cut[1:] |= feed

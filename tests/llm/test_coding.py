@@ -75,6 +75,23 @@ def test_memo_grows_and_finds():
     assert (at == np.arange(len(keys))).all() and (memo.ids[memo.cuts[at]] == (keys & np.uint64(0xFFFF))).all()
 
 
+def test_pieces_of_the_older_memo_are_entered_at_once():
+    """New and known pieces of one run, the latter taken over without the library."""
+    with open(tokenbin.tokenizer_path(), encoding="utf-8") as f:
+        make = tokenbin.Encoder(f.read())
+    old = [f"older{i} words{i % 7}é" for i in range(40)]
+    make.encode(pa.array(old))
+    make.forget()
+    asked, tokenize = [], make.tokenize
+    make.tokenize = lambda piece: asked.append(piece) or tokenize(piece)
+    flat, cuts = make.encode(pa.array([*old, "brandnew 'quote'", *old]))
+    for i, text in enumerate([*old, "brandnew 'quote'", *old]):
+        assert flat[cuts[i] : cuts[i + 1]].tolist() == make.library.encode(text, add_special_tokens=False).ids
+    assert asked == ["brandnew"]
+    ids, sizes = make.memo.held(np.arange(make.memo.n))
+    assert len(ids) == sizes.sum() == make.memo.used
+
+
 def test_token_files(spark):
     docs = spark.createDataFrame([(i * 3 % 21, t, "x") for i, t in enumerate(HARD)] + [(None, "no id", "x")], "doc_id long, text string, start string").repartition(5)
     make = tokenbin.encoder(open(tokenbin.tokenizer_path(), encoding="utf-8").read())
