@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 
@@ -195,12 +196,17 @@ class _Order:
     def __init__(self, n: int, slots: int):
         self.base, self.named = np.arange(n) * slots, _roomy(n * slots)
         self.levels, self.record = np.arange(n) * _LEVELS, np.zeros(n * 2 * _LEVELS, np.int64)
-        self.said = np.zeros((BLOCK, n), np.uint8)
-
-    def renew(self, total: np.ndarray, begin: int, end: int) -> None:
-        """Bring the records up to date by the steps ``begin`` to ``end``, and the weights by the records."""
-        lanes = np.arange(len(total)) * 2 * _LEVELS
-        self.record += np.bincount((self.said[begin:end] + lanes).reshape(-1), minlength=self.record.size)
+        # What was said at the steps since the last renewal.
+        self.begun, self.said = 0, np.zeros((max(np.diff((*EPOCHS, BLOCK))), n), np.uint8)
+
+    def renew(self, total: np.ndarray, end: int) -> None:
+        """Bring the records up to date by the steps before ``end``, and the weights by the records."""
+        n, each = len(total), 2 * _LEVELS
+        for a in range(0, n, _GROUP):
+            b = min(n, a + _GROUP)
+            said = self.said[: end - self.begun, a:b] + np.arange(b - a) * each
+            self.record[a * each : b * each] += np.bincount(said.reshape(-1), minlength=(b - a) * each)
+        self.begun = end
         self.weight = _weights(self.record, total).astype(np.int32).reshape(-1)
 
     def predict(self, m: int, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -212,7 +218,7 @@ class _Order:
 
     def learn(self, step: int, m: int, s: np.ndarray) -> None:
         said = self.sure + (self.name == s)
-        self.said[step, :m] = said
+        self.said[step - self.begun, :m] = said
         self.named[self.slot] = ((s << 4) | _AFTER.take(said)).astype(np.uint16)
 
 
@@ -223,7 +229,7 @@ def _roomy(n: int) -> np.ndarray:
 
 #: Confidence after a step, shifted, by what was said; an unknown follower can't be right.
 _AFTER = np.array([2, 2, *(2 * min(level + 1, _LEVELS - 1) if hit else 2 for level in range(1, _LEVELS) for hit in (0, 1))])
-def _decode_lanes(payloads: list[bytes], lengths: np.ndarray, distinct: np.ndarray) -> np.ndarray:
+def _decode_lanes(payloads: list[memoryview], lengths: np.ndarray, distinct: np.ndarray) -> np.ndarray:
     n, width = len(payloads), int(distinct.max(initial=1))
     room = max(len(p) for p in payloads) // 3 + 4
     parts = np.zeros((n, room, 4), np.uint8)
@@ -236,7 +242,7 @@ def _decode_lanes(payloads: list[bytes], lengths: np.ndarray, distinct: np.ndarr
     row, look, numbers = np.arange(n) * width, np.arange(n) * _TOTAL, np.tile(np.arange(width, dtype=np.uint16), _GROUP)
     # For every unit of the scaled counts, the number that has it; for every number, where its interval begins and its width.
     table, spans = _roomy(n * _TOTAL), np.zeros(n * width, np.int32)
-    counts, total0 = np.zeros((n, width), np.int32), np.zeros(n, np.int64)
+    counts, total0 = np.zeros((n, width), np.int16), np.zeros(n, np.int64)
     one = two = np.zeros(n, np.int64)
     begun = 0
     for step, m in enumerate(_active(lengths)):
@@ -245,14 +251,14 @@ def _decode_lanes(payloads: list[bytes], lengths: np.ndarray, distinct: np.ndarr
             for a in range(0, n, _GROUP):
                 b = min(n, a + _GROUP)
                 held = counts[a:b]
-                held += np.bincount((grid[begun:step, a:b] + row[: b - a]).reshape(-1), minlength=held.size).reshape(held.shape).astype(np.int32)
+                held += np.bincount((grid[begun:step, a:b] + row[: b - a]).reshape(-1), minlength=held.size).reshape(held.shape).astype(np.int16)
                 start, wide = _scaled(held, distinct[a:b], step)
                 total0[a:b] = start[:, -1] + wide[:, -1]
                 spans[a * width : b * width] = ((start << 16) | wide).reshape(-1)
                 wide[:, -1] += _TOTAL - total0[a:b].astype(np.int32)
                 table[a * _TOTAL : b * _TOTAL] = np.repeat(numbers[: wide.size], wide.reshape(-1))
-            first.renew(total0, begun, step)
-            second.renew(total0, begun, step)
+            first.renew(total0, step)
+            second.renew(total0, step)
             begun = step
         own = row[:m]
         n1, w1 = first.predict(m, one[:m])
@@ -320,7 +326,7 @@ def _numbered(block: np.ndarray, mark: np.ndarray, number: np.ndarray) -> tuple[
     return names, number[block]
 
 
-def _crc(ids: np.ndarray, listed: bytes, payload: bytes) -> int:
+def _crc(ids: np.ndarray, listed: bytes | memoryview, payload: bytes | memoryview) -> int:
     """Checksum of a block: of its ids and of the bytes that stand for them."""
     return zlib.crc32(payload, zlib.crc32(listed, zlib.crc32(ids.tobytes())))
 
@@ -334,19 +340,21 @@ def encode(ids: np.ndarray) -> bytes:
     mark, number = np.zeros(top, bool), np.zeros(top, np.int16)
     out = []
     for a, b in _parts(len(blocks), WRITTEN):
-        part = blocks[a:b]
-        coded = [_numbered(x, mark, number) for x in part]
-        payloads = _encode_lanes([c[1] for c in coded], np.array([len(c[0]) for c in coded]))
-        for x, (names, _), payload in zip(part, coded, payloads, strict=True):
+        heads, seqs = [], []
+        for x in blocks[a:b]:
+            names, seq = _numbered(x, mark, number)
             listed = zlib.compress(np.diff(names, prepend=names[:1]).astype("<u2" if int(names[-1]) < 1 << 16 else "<u4").tobytes(), 1)
-            out.append(_HEAD.pack(MAGIC, len(x), len(names), int(names[0]), len(listed), len(payload), _crc(x, listed, payload)))
-            out += [listed, payload]
+            heads.append((x, len(names), int(names[0]), listed))
+            seqs.append(seq)
+        payloads = _encode_lanes(seqs, np.array([h[1] for h in heads]))
+        for (x, d, first, listed), payload in zip(heads, payloads, strict=True):
+            out += [_HEAD.pack(MAGIC, len(x), d, first, len(listed), len(payload), _crc(x, listed, payload)), listed, payload]
     return b"".join(out)
 
 
-def decode(data: bytes) -> np.ndarray:
-    """The ids of :func:`encode`; raises :class:`Damaged` where a check fails."""
-    heads, at = [], 0
+def _blocks(data: memoryview) -> Iterator[tuple]:
+    """Of every block the ids' number, the distinct ones' number, the first of those and the steps from one to the next, payload, list and checksum; bytes of ``data`` are not copied."""
+    at = 0
     while at < len(data):
         if data[at : at + 4] != MAGIC or len(data) - at < _HEAD.size:
             raise Damaged("no block begins here")
@@ -360,23 +368,30 @@ def decode(data: bytes) -> np.ndarray:
             raise Damaged("list of ids") from None
         if len(raw) not in (2 * d, 4 * d):
             raise Damaged("list of ids")
-        names = first + np.cumsum(np.frombuffer(raw, "<u2" if len(raw) == 2 * d else "<u4").astype(np.int64)).astype("<u4")
-        heads.append((n, names, data[at + listed : at + listed + payload], data[at : at + listed], crc))
+        yield n, d, first, np.frombuffer(raw, "<u2" if len(raw) == 2 * d else "<u4"), data[at + listed : at + listed + payload], data[at : at + listed], crc
         at += listed + payload
-    out = []
-    for a, b in _parts(len(heads), READ):
-        part = heads[a:b]
+
+
+def decode(*runs: bytes | memoryview) -> np.ndarray:
+    """The ids of :func:`encode`, of several runs behind each other; raises :class:`Damaged` where a check fails."""
+    blocks = [block for data in runs for block in _blocks(memoryview(data))]
+    out, begin = np.empty(sum(x[0] for x in blocks), "<u4"), 0
+    for a, b in _parts(len(blocks), READ):
+        part = blocks[a:b]
+        if not part:
+            continue
         order = sorted(range(len(part)), key=lambda i: -part[i][0])
         lanes = [part[i] for i in order]
-        grid = _decode_lanes([p[2] for p in lanes], np.array([p[0] for p in lanes]), np.array([len(p[1]) for p in lanes])) if lanes else None
-        found: dict[int, np.ndarray] = {}
+        grid = _decode_lanes([x[4] for x in lanes], np.array([x[0] for x in lanes]), np.array([x[1] for x in lanes]))
+        cuts = begin + np.cumsum([0, *(x[0] for x in part)])
+        begin = cuts[-1]
         by_lane: np.ndarray | None = None
-        for lane, (i, (n, names, payload, listed, crc)) in enumerate(zip(order, lanes, strict=True)):
+        for lane, (i, (n, _, first, steps, payload, listed, crc)) in enumerate(zip(order, lanes, strict=True)):
             if lane % _GROUP == 0:
                 by_lane = grid[:, lane : lane + _GROUP].T.copy()
+            names = (first + np.cumsum(steps, dtype=np.int64)).astype("<u4")
             ids = names.take(by_lane[lane % _GROUP, :n], mode="clip")
             if _crc(ids, listed, payload) != crc:
                 raise Damaged("checksum")
-            found[i] = ids
-        out += [found[i] for i in range(len(part))]
-    return np.concatenate(out) if out else np.zeros(0, "<u4")
+            out[cuts[i] : cuts[i + 1]] = ids
+    return out

@@ -45,8 +45,9 @@ SEGMENT = rangecoder.BLOCK * rangecoder.WRITTEN
 #: Segments a file; it bounds what a reader holds in memory at once.
 FILE_SEGMENTS = 8
 MAGIC, END = b"LXSEGM01", b"\x00LXEND\x00\n"
-#: Pieces in a worker's memo (about 60 MB); beyond that a new one is begun, and the one before is kept for look-ups.
-MEMO = 1_000_000
+#: Pieces in a worker's memo, and their ids (about 22 MB at the usual three ids a piece, 30 MB at most); beyond that a new one
+#: is begun, and the one before is kept for look-ups.
+MEMO, MEMO_IDS = 480_000, 1 << 22
 _HEAD = struct.Struct("<8sIIIIIII")
 
 _odd = np.zeros(256, bool)
@@ -76,7 +77,7 @@ class Memo:
 
     def __init__(self):
         self.n, self.used = 0, 0
-        self.ids, self.cuts = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64)
+        self.ids, self.cuts = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int32)
         self.keys, self.at = np.zeros(1 << 15, np.uint64), np.zeros(1 << 15, np.int32)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
@@ -106,7 +107,8 @@ class Memo:
 
     def held(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the pieces ``at`` behind each other, and how many each has."""
-        begin, size = self.cuts[at], self.cuts[at + 1] - self.cuts[at]
+        begin = self.cuts[at].astype(np.int64)
+        size = self.cuts[at + 1] - begin
         stop = np.cumsum(size)
         place = np.repeat(begin - stop + size, size)
         place += np.arange(len(place))
@@ -128,7 +130,7 @@ class Memo:
         if 2 * n > len(self.keys):
             full = np.flatnonzero(self.keys)
             old, at = self.keys[full], self.at[full]
-            size = 1 << int(4 * n).bit_length()
+            size = 1 << int(2 * n - 1).bit_length()
             self.keys, self.at = np.zeros(size, np.uint64), np.zeros(size, np.int32)
             self._enter(old, at)
         self._enter(keys, np.arange(self.n, n))
@@ -214,7 +216,7 @@ class Encoder:
         kind = self._kind(raw)
         starts = self._pieces(raw, kind, offsets, plain)
         ends = np.append(starts[1:], len(raw))
-        if self.memo.n > MEMO:
+        if self.memo.n > MEMO or self.memo.used > MEMO_IDS:
             self.forget()
         memo, piece_cuts = self.memo, np.searchsorted(starts, offsets)
         own = np.flatnonzero(~plain & (offsets[1:] > offsets[:-1]))
@@ -228,7 +230,8 @@ class Encoder:
             new, first, which = np.unique(keys[missing], return_index=True, return_inverse=True)
             first = missing[first]
             at[missing] = self._learn(new, raw, kind, starts[first], ends[first])[which]
-        begin, size = memo.cuts[at], memo.cuts[at + 1] - memo.cuts[at]
+        begin = memo.cuts[at].astype(np.int64)
+        size = memo.cuts[at + 1] - begin
         begin[~short], size[~short] = 0, 0
         held = self.whole([bytes(raw[offsets[i] : offsets[i + 1]]).decode("utf-8", "replace") for i in own])
         size[piece_cuts[own]] = [len(x) for x in held]
@@ -297,12 +300,12 @@ def pack(part: int, number: int, doc_ids: list[int | None], lengths: np.ndarray,
     return _HEAD.pack(MAGIC, part, number, len(doc_ids), len(ids) & 0xFFFFFFFF, len(listed), len(body), zlib.crc32(listed)) + listed + body
 
 
-def unpack(data: bytes) -> Iterator[tuple[int, int, list[int | None], np.ndarray, np.ndarray]]:
+def unpack(data: bytes | memoryview) -> Iterator[tuple[int, int, list[int | None], np.ndarray, np.ndarray]]:
     """Partition, number, document ids, lengths and token ids of every segment of a file.
 
-    Segments are decoded together as far as a reader's blocks go.
+    Segments are decoded together as far as a reader's blocks go, from the file's bytes where they stand.
     """
-    at, held, blocks = 0, [], 0
+    data, at, held, blocks = memoryview(data), 0, [], 0
     while at < len(data):
         if data[at : at + 8] != MAGIC or len(data) - at < _HEAD.size:
             raise rangecoder.Damaged("no segment begins here")
@@ -326,7 +329,7 @@ def unpack(data: bytes) -> Iterator[tuple[int, int, list[int | None], np.ndarray
 
 
 def _decoded(held: list[tuple]) -> Iterator[tuple]:
-    ids = rangecoder.decode(b"".join(x[-1] for x in held))
+    ids = rangecoder.decode(*(x[-1] for x in held))
     if len(ids) != sum(int(x[-2].sum()) for x in held):
         raise rangecoder.Damaged("lengths")
     at = 0
@@ -345,7 +348,9 @@ def _segments(spec, end_id: int, segment: int):
         held = 0
 
         def out() -> pa.RecordBatch:
-            made = pack(part, number, doc_ids, np.concatenate(lengths), np.concatenate(ids))
+            whole = np.concatenate(ids)
+            ids.clear()  # not held twice while they are coded
+            made = pack(part, number, doc_ids, np.concatenate(lengths), whole)
             return pa.RecordBatch.from_arrays([pa.array([made], pa.binary())], ["value"])
 
         for batch in batches:
@@ -382,7 +387,7 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int
 def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for content in batch["content"]:
-            for part, number, doc_ids, lengths, ids in unpack(content.as_py()):
+            for part, number, doc_ids, lengths, ids in unpack(memoryview(content.as_buffer())):
                 stop = np.cumsum(lengths)
                 crc = [zlib.crc32(ids[e - n : e].tobytes()) for e, n in zip(stop, lengths, strict=True)]
                 n = len(doc_ids)

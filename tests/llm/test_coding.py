@@ -92,6 +92,38 @@ def test_pieces_of_the_older_memo_are_entered_at_once():
     assert len(ids) == sizes.sum() == make.memo.used
 
 
+def test_memos_are_bounded_by_bytes():
+    rng, memo = np.random.default_rng(5), tokenbin.Memo()
+    for _ in range(0, tokenbin.MEMO, 40_000):
+        memo.enter(rng.integers(1, 2**63, 40_000, dtype=np.uint64), np.zeros(110_000, np.uint32), np.r_[np.full(30_000, 3), np.full(10_000, 2)])
+    assert memo.n == tokenbin.MEMO and sum(x.nbytes for x in vars(memo).values() if isinstance(x, np.ndarray)) < 25e6
+    # Few pieces of many ids do not fill the memory either.
+    with open(tokenbin.tokenizer_path(), encoding="utf-8") as f:
+        make = tokenbin.Encoder(f.read())
+    make.memo.enter(np.array([5], np.uint64), np.zeros(tokenbin.MEMO_IDS + 1, np.uint32), np.array([tokenbin.MEMO_IDS + 1]))
+    flat, _ = make.encode(pa.array(["new words"]))
+    assert make.memo.n == 2 and flat.tolist() == make.library.encode("new words", add_special_tokens=False).ids
+
+
+def _peak(work, *args):
+    import tracemalloc
+
+    tracemalloc.start()
+    out = work(*args)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return out, peak
+
+
+def test_coder_memory():
+    """Peak bytes an id, of a writer's and a reader's usual number of blocks."""
+    ids = (np.random.default_rng(6).zipf(1.1, 600 * rangecoder.BLOCK) % 50_000).astype(np.uint32)
+    data, writer = _peak(rangecoder.encode, ids)
+    back, reader = _peak(rangecoder.decode, data)
+    assert (back == ids).all()
+    assert writer < 22.5 * len(ids) and reader < 25 * len(ids)
+
+
 def test_token_files(spark):
     docs = spark.createDataFrame([(i * 3 % 21, t, "x") for i, t in enumerate(HARD)] + [(None, "no id", "x")], "doc_id long, text string, start string").repartition(5)
     make = tokenbin.encoder(open(tokenbin.tokenizer_path(), encoding="utf-8").read())
