@@ -190,36 +190,38 @@ def _active(lengths: np.ndarray) -> np.ndarray:
     return np.searchsorted(-lengths, -np.arange(lengths[0] if len(lengths) else 0), side="left")
 
 
-class _Order:
-    """What a reader's lanes know of the numbers that follow a context; held as ``number << 4 | confidence << 1``."""
+class _Orders:
+    """What a reader's lanes know of the numbers that follow the contexts of both orders, an order a row; held as ``number << 4 | confidence << 1``."""
 
-    def __init__(self, n: int, slots: int):
-        self.base, self.named = np.arange(n) * slots, _roomy(n * slots)
-        self.levels, self.record = np.arange(n) * _LEVELS, np.zeros(n * 2 * _LEVELS, np.int64)
+    def __init__(self, n: int, width: int):
+        lanes = np.arange(n)
+        self.base, self.named = np.stack((lanes * width, n * width + lanes * _SLOTS)), _roomy(n * (width + _SLOTS))
+        self.levels, self.record = np.arange(2 * n).reshape(2, n) * 2 * _LEVELS, np.zeros(4 * n * _LEVELS, np.int64)
         # What was said at the steps since the last renewal.
-        self.begun, self.said = 0, np.zeros((max(np.diff((*EPOCHS, BLOCK))), n), np.uint8)
+        self.begun, self.said = 0, np.zeros((max(np.diff((*EPOCHS, BLOCK))), 2, n), np.uint8)
 
     def renew(self, total: np.ndarray, end: int) -> None:
         """Bring the records up to date by the steps before ``end``, and the weights by the records."""
-        n, each = len(total), 2 * _LEVELS
+        n, each = 2 * len(total), 2 * _LEVELS
+        steps = self.said.reshape(-1, n)[: end - self.begun]
         for a in range(0, n, _GROUP):
             b = min(n, a + _GROUP)
-            said = self.said[: end - self.begun, a:b] + np.arange(b - a) * each
+            said = steps[:, a:b] + np.arange(b - a) * each
             self.record[a * each : b * each] += np.bincount(said.reshape(-1), minlength=(b - a) * each)
         self.begun = end
-        self.weight = _weights(self.record, total).astype(np.int32).reshape(-1)
+        self.weight = np.repeat(_weights(self.record, np.tile(total, 2)).astype(np.int32), 2)
 
-    def predict(self, m: int, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The number named and its weight."""
-        self.slot = slot + self.base[:m]
+    def predict(self, m: int, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers named and their weights."""
+        self.slot = context + self.base[:, :m]
         held = self.named.take(self.slot)
-        self.name, self.sure = (held >> 4).astype(np.int64), (held & 15).astype(np.int64)
-        return self.name, self.weight.take(self.levels[:m] + (self.sure >> 1))
+        self.name, self.sure = (held >> 4).astype(np.int64), held & 15
+        return self.name, self.weight.take(self.levels[:, :m] + self.sure)
 
     def learn(self, step: int, m: int, s: np.ndarray) -> None:
         said = self.sure + (self.name == s)
-        self.said[step - self.begun, :m] = said
-        self.named[self.slot] = ((s << 4) | _AFTER.take(said)).astype(np.uint16)
+        self.said[step - self.begun, :, :m] = said
+        self.named[self.slot] = _AFTER.take(said) | (s << 4).astype(np.uint16)
 
 
 def _roomy(n: int) -> np.ndarray:
@@ -228,7 +230,9 @@ def _roomy(n: int) -> np.ndarray:
 
 
 #: Confidence after a step, shifted, by what was said; an unknown follower can't be right.
-_AFTER = np.array([2, 2, *(2 * min(level + 1, _LEVELS - 1) if hit else 2 for level in range(1, _LEVELS) for hit in (0, 1))])
+_AFTER = np.array([2, 2, *(2 * min(level + 1, _LEVELS - 1) if hit else 2 for level in range(1, _LEVELS) for hit in (0, 1))], np.uint16)
+
+
 def _decode_lanes(payloads: list[memoryview], lengths: np.ndarray, distinct: np.ndarray) -> np.ndarray:
     n, width = len(payloads), int(distinct.max(initial=1))
     room = max(len(p) for p in payloads) // 3 + 4
@@ -238,12 +242,11 @@ def _decode_lanes(payloads: list[memoryview], lengths: np.ndarray, distinct: np.
     words, base, last = parts.view("<u4").reshape(-1), np.arange(n) * room, np.arange(1, n + 1) * room - 1
     rel, size, at = words[base] * _WORD + words[base + 1], np.full(n, _WHOLE), base + 2
     grid = np.zeros((int(lengths.max(initial=0)), n), np.int16)
-    first, second = _Order(n, width), _Order(n, _SLOTS)
+    orders, context = _Orders(n, width), np.zeros((2, n), np.int64)
     row, look, numbers = np.arange(n) * width, np.arange(n) * _TOTAL, np.tile(np.arange(width, dtype=np.uint16), _GROUP)
     # For every unit of the scaled counts, the number that has it; for every number, where its interval begins and its width.
     table, spans = _roomy(n * _TOTAL), np.zeros(n * width, np.int32)
     counts, total0 = np.zeros((n, width), np.int16), np.zeros(n, np.int64)
-    one = two = np.zeros(n, np.int64)
     begun = 0
     for step, m in enumerate(_active(lengths)):
         if step in EPOCHS:
@@ -257,12 +260,11 @@ def _decode_lanes(payloads: list[memoryview], lengths: np.ndarray, distinct: np.
                 spans[a * width : b * width] = ((start << 16) | wide).reshape(-1)
                 wide[:, -1] += _TOTAL - total0[a:b].astype(np.int32)
                 table[a * _TOTAL : b * _TOTAL] = np.repeat(numbers[: wide.size], wide.reshape(-1))
-            first.renew(total0, step)
-            second.renew(total0, step)
+            orders.renew(total0, step)
             begun = step
         own = row[:m]
-        n1, w1 = first.predict(m, one[:m])
-        n2, w2 = second.predict(m, _place2(one[:m], two[:m]))
+        names, weights = orders.predict(m, context[:, :m])
+        (n1, n2), (w1, w2) = names, weights
         total = total0[:m] + w1
         total += w2
         r = np.floor(size[:m] / total)
@@ -271,18 +273,19 @@ def _decode_lanes(payloads: list[memoryview], lengths: np.ndarray, distinct: np.
         joint = w2 * (n1 == n2)
         w1 += joint
         w2 -= joint
-        span1, span2 = spans.take(own + n1), spans.take(own + n2)
-        lo1, lo2 = (span1 >> 16) + w2 * (n2 < n1), (span2 >> 16) + w1 * (n1 <= n2)
-        hi1, hi2 = lo1 + (span1 & 0xFFFF), lo2 + (span2 & 0xFFFF)
-        hi1 += w1
-        hi2 += w2
-        past1, past2 = t >= hi1, t >= hi2
-        in1, in2 = (t >= lo1) > past1, (t >= lo2) > past2
-        s, lo, hi = np.where(in1, n1, n2), np.where(in1, lo1, lo2), np.where(in1, hi1, hi2)
+        span = spans.take(names + own)
+        los = span >> 16
+        los[0] += w2 * (n2 < n1)
+        los[1] += w1 * (n1 <= n2)
+        span &= 0xFFFF
+        span += los
+        span += weights
+        past = t >= span
+        in1, in2 = (t >= los) > past
+        s, lo, hi = np.where(in1, n1, n2), np.where(in1, los[0], los[1]), np.where(in1, span[0], span[1])
         rest = (~(in1 | in2)).nonzero()[0]
         if len(rest):
-            w1 *= past1
-            w2 *= past2
+            weights *= past
             w1 += w2
             above = w1.take(rest)
             plain = t.take(rest)
@@ -300,10 +303,9 @@ def _decode_lanes(payloads: list[memoryview], lengths: np.ndarray, distinct: np.
         at[again] = np.minimum(place + 1, last.take(again))
         wide[again] = wide.take(again) * _WORD
         rel[:m], size[:m] = left, wide
-        first.learn(step, m, s)
-        second.learn(step, m, s)
+        orders.learn(step, m, s)
         grid[step, :m] = s
-        one, two = s, one
+        context = np.stack((s, _place2(s, context[0, :m])))
     return grid
 
 

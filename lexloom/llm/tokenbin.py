@@ -52,6 +52,10 @@ _HEAD = struct.Struct("<8sIIIIIII")
 
 _odd = np.zeros(256, bool)
 _odd[[*range(9), *range(11, 32), 127]] = True
+_ODD = _odd.tobytes()
+#: Of a word of eight bytes, the first so many.
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+_LENGTH = U64(0x9E3779B97F4A7C15)
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -82,15 +86,20 @@ class Memo:
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """The number of every piece, -1 for unknown ones; no key is 0."""
-        mask, out = U64(len(self.keys) - 1), np.full(len(keys), -1, np.int64)
-        slot, left = (keys & mask).view(np.int64), np.arange(len(keys))
+        mask = len(self.keys) - 1
+        slot = (keys & U64(mask)).view(np.int64)
+        held = self.keys.take(slot)
+        hit = held == keys
+        out = np.where(hit, self.at.take(slot), -1)
+        left = np.flatnonzero(~hit & (held != 0))
+        slot, keys = slot.take(left), keys.take(left)
         while len(left):
-            at = slot[left]
-            held = self.keys[at]
-            hit = held == keys[left]
-            out[left[hit]] = self.at[at[hit]]
-            left = left[~hit & (held != 0)]
-            slot[left] = (slot[left] + 1) & int(mask)
+            slot = (slot + 1) & mask
+            held = self.keys.take(slot)
+            hit = held == keys
+            out[left[hit]] = self.at.take(slot[hit])
+            on = np.flatnonzero(~hit & (held != 0))
+            left, slot, keys = left.take(on), slot.take(on), keys.take(on)
         return out
 
     def _enter(self, keys: np.ndarray, numbers: np.ndarray) -> None:
@@ -137,6 +146,38 @@ class Memo:
         self.n, self.used = n, end
 
 
+def _by_byte(raw: np.ndarray, table: bytes) -> np.ndarray:
+    """A table's entries for all bytes, in an array of its own."""
+    return np.frombuffer(bytearray(raw.tobytes().translate(table)), np.uint8)
+
+
+def _keys(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of pieces: of up to 16 bytes by their two words, of longer ones by those of :mod:`textvec`; none is 0."""
+    size = ends - starts
+    words = np.zeros((len(raw) >> 3) + 3, "<u8")
+    words.view(np.uint8)[: len(raw)] = raw
+    at, low = starts >> 3, ((starts & 7) << 3).astype(np.uint64)
+    high = U64(64) - low  # a shift by 64 gives 0
+    one, two, three = words.take(at), words.take(at + 1), words.take(at + 2)
+    one >>= low
+    one |= two << high
+    one &= _FIRST.take(np.minimum(size, 8))
+    two >>= low
+    two |= three << high
+    two &= _FIRST.take(np.clip(size - 8, 0, 8))
+    two += size.astype(np.uint64) * _LENGTH
+    one ^= textvec.mix(two)
+    keys = textvec.mix(one)
+    if (long := np.flatnonzero(size > 16)).size:
+        stop = np.cumsum(size[long])
+        begin = stop - size[long]
+        place = np.repeat(starts[long] - begin, size[long])
+        place += np.arange(len(place))
+        keys[long] = textvec.hashes(raw[place], begin, stop)
+    keys[keys == 0] = 1
+    return keys
+
+
 def _kinds(added: list[str]) -> np.ndarray:
     """Kind of every byte: 1 letters, 2 digits, 3 other ASCII characters, 0 what is never cut off.
 
@@ -168,7 +209,7 @@ class Encoder:
         pre, added = parts.get("pre_tokenizer") or {}, parts.get("added_tokens", [])
         self.by_piece = parts.get("normalizer") is None and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space", True) and pre.get("use_regex", True)
         self.by_piece = self.by_piece and not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") or re.search(r"\s", t["content"]) for t in added)
-        self.kinds = _kinds([t["content"] for t in added])
+        self.kinds = _kinds([t["content"] for t in added]).tobytes()
         self.tokenize = self.library.model.tokenize
         self.memo, self.older = Memo(), Memo()
 
@@ -193,17 +234,18 @@ class Encoder:
         unsure = (kind[place] == 0) & (own != 10) & (own != 32)
         pure = ~np.logical_or.reduceat(unsure, begin)
         seen = _VISIBLE[own].tobytes().decode("utf-16-le")
-        got, others, tokenize = [], [], self.tokenize
-        for a, b, known in zip(begin.tolist(), stop.tolist(), pure.tolist(), strict=True):
-            if known:
-                got.append([t.id for t in tokenize(seen[a:b])])
-            else:
-                others.append((len(got), own[a:b].tobytes().decode("utf-8", "replace")))
-                got.append(None)
-        for (i, _), ids in zip(others, self.whole([x for _, x in others]), strict=True):
-            got[i] = ids
+        flat, sizes, tokenize = [], [], self.tokenize
+        for a, b in zip(begin[pure].tolist(), stop[pure].tolist(), strict=True):
+            ids = [t.id for t in tokenize(seen[a:b])]
+            flat += ids
+            sizes.append(len(ids))
+        others = np.flatnonzero(~pure)
+        for ids in self.whole([own[begin[i] : stop[i]].tobytes().decode("utf-8", "replace") for i in others]):
+            flat += ids
+            sizes.append(len(ids))
+        new = new[np.concatenate((np.flatnonzero(pure), others))]
         numbers[new] = memo.n + np.arange(len(new))
-        memo.learn(keys[new], got)
+        memo.enter(keys[new], np.array(flat, np.uint32), np.array(sizes, np.int64))
         return numbers
 
     def whole(self, texts: list[str]) -> list[list[int]]:
@@ -220,32 +262,31 @@ class Encoder:
             self.forget()
         memo, piece_cuts = self.memo, np.searchsorted(starts, offsets)
         own = np.flatnonzero(~plain & (offsets[1:] > offsets[:-1]))
-        short = np.ones(len(starts), bool)
-        short[piece_cuts[own]] = False
-        keys = textvec.hashes(raw, starts, ends)
-        keys[keys == 0] = 1
-        at = np.zeros(len(starts), np.int64)
-        at[short] = memo.find(keys[short])
+        # A text that goes to the library whole takes the first piece's place until its ids are known.
+        whole = piece_cuts[own]
+        ends[whole] = starts[whole]
+        keys = _keys(raw, starts, ends)
+        at = memo.find(keys)
+        at[whole] = 0
         if (missing := np.flatnonzero(at < 0)).size:
             new, first, which = np.unique(keys[missing], return_index=True, return_inverse=True)
             first = missing[first]
             at[missing] = self._learn(new, raw, kind, starts[first], ends[first])[which]
         begin = memo.cuts[at].astype(np.int64)
         size = memo.cuts[at + 1] - begin
-        begin[~short], size[~short] = 0, 0
         held = self.whole([bytes(raw[offsets[i] : offsets[i + 1]]).decode("utf-8", "replace") for i in own])
-        size[piece_cuts[own]] = [len(x) for x in held]
+        size[whole] = [len(x) for x in held]
         stop = np.concatenate(([0], np.cumsum(size)))
         place = np.repeat(begin - stop[:-1], size)
         place += np.arange(stop[-1])
         flat = memo.ids.take(place, mode="clip")
-        for i, x in zip(piece_cuts[own], held, strict=True):
+        for i, x in zip(whole, held, strict=True):
             flat[stop[i] : stop[i + 1]] = x
         return flat, stop[piece_cuts]
 
     def _kind(self, raw: np.ndarray) -> np.ndarray:
         """Kind of every byte, with letters of two bytes."""
-        kind = self.kinds[raw]
+        kind = _by_byte(raw, self.kinds)
         # U+00C0 to U+00FF are letters but for the signs of multiplication and division.
         lead = np.flatnonzero(raw[:-1] == 0xC3)
         lead = lead[(raw[lead + 1] != 0x97) & (raw[lead + 1] != 0xB7)]
@@ -267,7 +308,7 @@ class Encoder:
     @staticmethod
     def _plain(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Texts with characters in which every white space is a blank or line feed alone between other characters."""
-        bad, blank = _odd[raw], (raw == 32) | (raw == 10)
+        bad, blank = _by_byte(raw, _ODD).view(bool), (raw == 32) | (raw == 10)
         bad[1:] |= blank[1:] & blank[:-1]
         # First bytes of U+0085, U+00A0, U+1680, U+180E, U+2000-205F and U+3000; some harmless characters share them.
         high = np.flatnonzero(raw >= 0xC2)

@@ -124,6 +124,21 @@ def test_coder_memory():
     assert writer < 22.5 * len(ids) and reader < 25 * len(ids)
 
 
+def test_pieces_are_told_apart_by_their_words(monkeypatch):
+    """Only the bytes of long pieces are hashed one by one."""
+    with open(tokenbin.tokenizer_path(), encoding="utf-8") as f:
+        make = tokenbin.Encoder(f.read())
+    hashes, given = tokenbin.textvec.hashes, []
+    monkeypatch.setattr(tokenbin.textvec, "hashes", lambda data, *cuts: given.append(bytes(data)) or hashes(data, *cuts))
+    texts = ["x" * n + " " + "y" * m for n in range(1, 20) for m in range(1, 19)] + ["a b", "ab", "two  blanks in a text that the library gets whole"]
+    for column in (texts, texts[::-1]):
+        flat, cuts = make.encode(pa.array(column))
+        for i, text in enumerate(column):
+            assert flat[cuts[i] : cuts[i + 1]].tolist() == make.library.encode(text, add_special_tokens=False).ids, text
+    held = b"".join(given)
+    assert len(held) < 0.8 * 2 * sum(map(len, texts)) and b"x" * 17 in held and b" " + b"y" * 16 in held
+
+
 def test_token_files(spark):
     docs = spark.createDataFrame([(i * 3 % 21, t, "x") for i, t in enumerate(HARD)] + [(None, "no id", "x")], "doc_id long, text string, start string").repartition(5)
     make = tokenbin.encoder(open(tokenbin.tokenizer_path(), encoding="utf-8").read())
