@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Blocks coded side by side, at most: a reader's steps are dearer, so that it takes more.
-BLOCK, WRITTEN, READ = 4096, 1024, 3072
+BLOCK, WRITTEN, READ = 4096, 640, 3072
 #: Steps before which counts and weights are brought up to date.
 EPOCHS = (0, 16, 48, 112, 240, 432, 704, 1088, 1600, 2304, 3200)
 #: Counts are scaled to this total; it is no less than ``BLOCK``, so that every number has a share.

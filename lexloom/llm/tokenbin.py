@@ -325,7 +325,7 @@ _ENCODERS: dict[int, Encoder] = {}
 
 
 def encoder(spec: str) -> Encoder:
-    """A worker's encoder for a vocabulary; it lives on from task to task."""
+    """A worker's encoder for a vocabulary; it lives on from task to task, and its memo until files are read."""
     key = zlib.crc32(spec.encode())
     if key not in _ENCODERS:
         _ENCODERS[key] = Encoder(spec)
@@ -426,6 +426,9 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int
 
 
 def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # All is written when reading begins; a worker's room is then needed for the blocks.
+    for make in _ENCODERS.values():
+        make.memo, make.older = Memo(), Memo()
     for batch in batches:
         for content in batch["content"]:
             for part, number, doc_ids, lengths, ids in unpack(memoryview(content.as_buffer())):

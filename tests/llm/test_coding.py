@@ -105,6 +105,18 @@ def test_memos_are_bounded_by_bytes():
     assert make.memo.n == 2 and flat.tolist() == make.library.encode("new words", add_special_tokens=False).ids
 
 
+def test_readers_hold_no_memo():
+    with open(tokenbin.tokenizer_path(), encoding="utf-8") as f:
+        make = tokenbin.encoder(f.read())
+    flat, cuts = make.encode(pa.array(["some words", "more of them"]))
+    assert make.memo.n
+    file = tokenbin.pack(0, 0, [1, 2], np.diff(cuts), flat) + tokenbin.END
+    rows = [r for b in tokenbin._unpacked(iter([pa.RecordBatch.from_arrays([pa.array([file], pa.binary())], ["content"])])) for r in b.to_pylist()]
+    assert [(r["doc_id"], r["n_tokens"]) for r in rows] == [(1, cuts[1]), (2, cuts[2] - cuts[1])]
+    assert make.memo.n == make.older.n == 0
+    assert (make.encode(pa.array(["some words", "more of them"]))[0] == flat).all()
+
+
 def _peak(work, *args):
     import tracemalloc
 
