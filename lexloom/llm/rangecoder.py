@@ -2,18 +2,20 @@
 
 Ids are coded in blocks of at most ``BLOCK`` ids.  Every block starts from a
 fresh model, carries a checksum and can be read without any other.  A block
-lists its distinct ids; the coder works on their numbers.  Each number is coded
-under a mixture of three predictions:
+lists its distinct ids; the coder works on their numbers.  Three predictions are
+mixed:
 
 * order 0: counts of the numbers so far;
 * order 1: the number that last followed the one before;
 * order 2: the number that last followed the two before (hashed).
 
-The latter two add to the count of the number that they name a weight that
-follows how often such a prediction, at its present confidence, was right in
-this block.  What orders 1 and 2 name is known at once; counts and weights are
-brought up to date at the steps of :data:`EPOCHS`, so that in between a number
-is found by one look into a table.
+The latter two give the number that they name a weight that follows how often
+such a prediction, at its present confidence, was right in this block.  The
+scaled counts come first in the coder's range and the two weights behind them
+(as one where both name the same number); a number that has several of these
+intervals is coded by the widest.  What orders 1 and 2 name is known at once;
+counts and weights are brought up to date at the steps of :data:`EPOCHS`, so
+that in between a number is found by one look into a table.
 
 The coder's range has 48 bits and gives off 24 at a time; all values are whole
 numbers below 2**53 held as doubles, whose quotients round down exactly.
@@ -40,12 +42,12 @@ _TOTAL = 1 << 12
 _LEVELS, _RATIO, _SLOTS = 8, 24, 1024
 #: Lanes whose predictions the writer works out together.
 _GROUP = 32
-#: Steps after which the writer looks for more room.
-_CHECK = 64
 #: The range is held between _LEAST and _WHOLE by giving off words of 24 bits; a total is less than 2**20, so that one a step is enough.
 _WORD, _LEAST, _WHOLE = float(1 << 24), float(1 << 24), float(1 << 48)
+#: By what the range grows where a word is given off, and where not.
+_MORE = np.array([1.0, _WORD])
 _HEAD = struct.Struct("<4sIIIIII")
-MAGIC = b"LXB2"
+MAGIC = b"LXB3"
 
 
 class Damaged(ValueError):
@@ -61,7 +63,7 @@ def _scaled(counts: np.ndarray, distinct: np.ndarray, step: int) -> tuple[np.nda
     """Where the order-0 interval of every number begins, and its width (lanes x numbers); every number of a lane has one."""
     size = counts * (_TOTAL - distinct)[:, None].astype(np.int32)
     size //= max(step, 1)
-    size += np.arange(counts.shape[1]) < distinct[:, None]
+    size += np.arange(counts.shape[1], dtype=np.int32) < distinct[:, None].astype(np.int32)
     return np.cumsum(size, 1, dtype=np.int32) - size, size
 
 
@@ -77,23 +79,27 @@ def _weights(record: np.ndarray, total: np.ndarray) -> np.ndarray:
 def _followers(key: np.ndarray, s: np.ndarray, steps: int, n: int) -> np.ndarray:
     """What the last follower of the same ``key`` (lane and slot) says of all steps (step-major, ``n`` lanes).
 
-    Each is ``number << 4 | confidence << 1 | right``.
+    Each is ``confidence << 1 | right``.
     """
     # Sorted by key and step; a key's entries then stand in the order in which they follow each other.
     entry = np.sort(((key << 12) | np.repeat(np.arange(steps, dtype=np.int32), n)).view(np.uint32))
-    k, place, at = entry >> 12, (entry & 0xFFF).astype(np.int64) * n + (entry >> 24), np.arange(len(entry), dtype=np.int32)
+    place = (entry & 0xFFF).astype(np.int64)
+    place *= n
+    place += entry >> 24
     x = s.take(place)
-    known = k[1:] == k[:-1]
-    hit = known & (x[1:] == x[:-1])
+    entry >>= 12
+    hit = np.zeros(len(entry), np.uint8)
+    np.logical_and(entry[1:] == entry[:-1], x[1:] == x[:-1], out=hit[1:].view(bool))
     # Confidence: how many followers in a row were equal, the first one counting.
-    run = at.copy()
-    run[1:] *= ~hit
-    level = np.minimum(at - np.maximum.accumulate(run) + 1, _LEVELS - 1)
+    level, run = hit + np.uint8(1), hit.copy()
+    for _ in range(_LEVELS - 3):
+        run[1:] &= run[:-1].copy()
+        level += run
     level <<= 1
-    level |= x << 4
-    said = np.zeros(len(entry), np.uint16)
-    said[1:] = (level[:-1] | hit) * known
-    out = np.empty(len(entry), np.uint16)
+    said = np.zeros(len(entry), np.uint8)
+    np.bitwise_or(level[:-1], hit[1:], out=said[1:])
+    said[1:] *= entry[1:] == entry[:-1]
+    out = np.empty(len(entry), np.uint8)
     out[place] = said
     return out
 
@@ -120,22 +126,30 @@ def _predicted(grid: np.ndarray, lengths: np.ndarray, distinct: np.ndarray, out:
         start, size = _scaled(counts, distinct, begin)
         total0 = start[:, -1] + size[:, -1]
         part, own = slice(begin * n, end * n), lane[begin * n : end * n]
-        x = s[part]
         at = own * width
-        at += x
+        at += s[part]
         own = own * (2 * _LEVELS)
-        cum, freq, total = start.reshape(-1).take(at), size.reshape(-1).take(at), np.tile(total0, end - begin)
+        freq = ((start << 16) | size).reshape(-1).take(at)
+        cum = freq >> 16
+        freq &= 0xFFFF
+        total = np.tile(total0, end - begin)
         known = slice(None) if whole else live[begin:end].reshape(-1)
+        weights = []
         for said, record in zip(seen, records, strict=True):
-            held = said[part].astype(np.int32)
-            name = held >> 4
-            held &= 2 * _LEVELS - 1
-            place = own + held
-            w = _weights(record, total0).astype(np.int32).reshape(-1).take(place >> 1)
-            cum += w * (name < x)
-            freq += w * (name == x)
-            total += w
+            place = own + said[part]
+            weights.append(np.repeat(_weights(record, total0).astype(np.int32), 2).take(place))
             record += np.bincount(place[known], minlength=record.size).reshape(record.shape)
+        w1, w2 = weights
+        right1, right2 = ((said[part] & 1).view(bool) for said in seen)
+        for right, both, first in ((right1, right2, True), (right2 & ~right1, None, False)):
+            hit = np.flatnonzero(right)
+            w = w1.take(hit) + w2.take(hit) * both.take(hit) if first else w2.take(hit)
+            better = w > freq.take(hit)
+            hit = hit[better]
+            freq[hit] = w[better]
+            cum[hit] = total.take(hit) if first else total.take(hit) + w1.take(hit)
+        total += w1
+        total += w2
         for field, values in zip(out, (cum, freq, total), strict=True):
             field[begin:end] = values.reshape(end - begin, n)
         counts += np.bincount(at[known], minlength=n * width).reshape(n, width).astype(np.int32)
@@ -145,44 +159,41 @@ def _encode_lanes(seqs: list[np.ndarray], distinct: np.ndarray) -> list[bytes]:
     """Payloads of some blocks; the longest come first."""
     lengths, n = np.array([len(s) for s in seqs]), len(seqs)
     steps = int(lengths.max(initial=0))
-    cum, freq, total = np.zeros((steps, n), np.float32), np.ones((steps, n), np.float32), np.ones((steps, n), np.float32)
+    cum, freq, total = np.zeros((steps + 2, n), np.float32), np.ones((steps, n), np.float32), np.ones((steps, n), np.float32)
     for a in range(0, n, _GROUP):
         b = min(n, a + _GROUP)
         grid = np.zeros((steps, b - a), np.int16)  # numbers lie below BLOCK
         for i in range(a, b):
             grid[: lengths[i], i - a] = seqs[i]
-        _predicted(grid, lengths[a:b], distinct[a:b], (cum[:, a:b], freq[:, a:b], total[:, a:b]))
-    # Words hold a bit of carry above their 24 until the end; a step gives off one at most.
-    room = steps // 3 + 2 * _CHECK
-    words, base, count = np.zeros(n * room, np.uint32), np.arange(n) * room, np.zeros(n, np.int64)
+        _predicted(grid, lengths[a:b], distinct[a:b], (cum[:steps, a:b], freq[:, a:b], total[:, a:b]))
+    # A step gives off one word at most, which takes its interval's place; a word holds a bit of carry above its 24 until the end.
+    words, given = cum.view(np.uint32), np.zeros((steps + 2, n), bool)
     low, size = np.zeros(n), np.full(n, _WHOLE)
     for step, m in enumerate(_active(lengths)):
-        if step % _CHECK == 0 and count.max() + 2 * _CHECK > room:
-            words = np.pad(words.reshape(n, room), ((0, 0), (0, room // 2 + 2 * _CHECK))).reshape(-1)
-            room += room // 2 + 2 * _CHECK
-            base = np.arange(n) * room
-        lo, r = low[:m], np.floor(size[:m] / total[step, :m])
+        lo, r = low[:m], size[:m]
+        np.floor(np.divide(r, total[step, :m], out=r), out=r)
         lo += cum[step, :m] * r
         r *= freq[step, :m]
-        again = (r < _LEAST).nonzero()[0]
-        held, at = lo.take(again), count.take(again)
-        top = np.floor(held * (1 / _LEAST))
-        words[base.take(again) + at] = top
-        count[again] = at + 1
-        lo[again] = (held - top * _LEAST) * _WORD
-        r[again] = r.take(again) * _WORD
-        size[:m] = r
-    for top in (np.floor(low * (1 / _LEAST)), low % _LEAST):
-        words[base + count] = top
-        count += 1
-    words = words.reshape(n, room)
-    carry = np.zeros(n, np.uint32)
-    for i in range(int(count.max(initial=0)) - 1, -1, -1):
-        held = words[:, i] + carry
-        carry = held >> 24
-        words[:, i] = held & 0xFFFFFF
-    parts = words.astype("<u4").view(np.uint8).reshape(n, room, 4)
-    return [parts[i, : count[i], :3].tobytes() for i in range(n)]
+        again = np.less(r, _LEAST, out=given[step, :m])
+        top = lo * (1 / _LEAST)
+        words[step, :m] = top
+        np.floor(top, out=top)
+        top *= _LEAST
+        top *= again
+        lo -= top
+        more = _MORE.take(again.view(np.uint8))
+        lo *= more
+        r *= more
+    words[steps], words[steps + 1] = np.floor(low * (1 / _LEAST)), low % _LEAST
+    given[steps:] = True
+    flat = np.concatenate([words[:, a : a + _GROUP].T[given[:, a : a + _GROUP].T] for a in range(0, n, _GROUP)])
+    # A lane's first word has no carry, as all lies below the whole range.
+    while (at := np.flatnonzero(flat >> 24)).size:
+        flat[at] &= 0xFFFFFF
+        flat[at - 1] += 1
+    cuts = np.concatenate(([0], 3 * np.cumsum(np.count_nonzero(given, 0))))
+    flat = flat.astype("<u4", copy=False).view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
+    return [flat[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 def _active(lengths: np.ndarray) -> np.ndarray:
@@ -209,19 +220,24 @@ class _Orders:
             said = steps[:, a:b] + np.arange(b - a) * each
             self.record[a * each : b * each] += np.bincount(said.reshape(-1), minlength=(b - a) * each)
         self.begun = end
-        self.weight = np.repeat(_weights(self.record, np.tile(total, 2)).astype(np.int32), 2)
+        self.weight = np.repeat(_weights(self.record, np.tile(total, 2)).astype(float), 2)
 
-    def predict(self, m: int, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The numbers named and their weights."""
+    def predict(self, m: int, context: np.ndarray) -> np.ndarray:
+        """The weights of the numbers named."""
         self.slot = context + self.base[:, :m]
-        held = self.named.take(self.slot)
-        self.name, self.sure = (held >> 4).astype(np.int64), held & 15
-        return self.name, self.weight.take(self.levels[:, :m] + self.sure)
+        self.held = self.named.take(self.slot)
+        self.sure = self.held.astype(np.uint8) & 15
+        return self.weight.take(self.levels[:, :m] + self.sure)
 
     def learn(self, step: int, m: int, s: np.ndarray) -> None:
-        said = self.sure + (self.name == s)
-        self.said[step - self.begun, :, :m] = said
-        self.named[self.slot] = _AFTER.take(said) | (s << 4).astype(np.uint16)
+        """Enter the numbers ``s`` (uint16); an unknown follower's confidence is 0, and 1 after the step."""
+        s = s << 4
+        right = ((self.held ^ s) < 16).view(np.uint8)
+        np.add(self.sure, right, out=self.said[step - self.begun, :, :m])
+        after = np.minimum(self.sure, 2 * _LEVELS - 4)
+        after *= right
+        after += 2
+        self.named[self.slot] = s | after
 
 
 def _roomy(n: int) -> np.ndarray:
@@ -229,10 +245,6 @@ def _roomy(n: int) -> np.ndarray:
     return np.zeros(max(n, 1 << 22), np.uint16)[:n]
 
 
-#: Confidence after a step, shifted, by what was said; an unknown follower can't be right.
-_AFTER = np.array([2, 2, *(2 * min(level + 1, _LEVELS - 1) if hit else 2 for level in range(1, _LEVELS) for hit in (0, 1))], np.uint16)
-
-
 def _decode_lanes(payloads: list[memoryview], lengths: np.ndarray, distinct: np.ndarray) -> np.ndarray:
     n, width = len(payloads), int(distinct.max(initial=1))
     room = max(len(p) for p in payloads) // 3 + 4
@@ -246,7 +258,7 @@ def _decode_lanes(payloads: list[memoryview], lengths: np.ndarray, distinct: np.
     row, look, numbers = np.arange(n) * width, np.arange(n) * _TOTAL, np.tile(np.arange(width, dtype=np.uint16), _GROUP)
     # For every unit of the scaled counts, the number that has it; for every number, where its interval begins and its width.
     table, spans = _roomy(n * _TOTAL), np.zeros(n * width, np.int32)
-    counts, total0 = np.zeros((n, width), np.int16), np.zeros(n, np.int64)
+    counts, total0 = np.zeros((n, width), np.int16), np.zeros(n)
     begun = 0
     for step, m in enumerate(_active(lengths)):
         if step in EPOCHS:
@@ -262,41 +274,27 @@ def _decode_lanes(payloads: list[memoryview], lengths: np.ndarray, distinct: np.
                 table[a * _TOTAL : b * _TOTAL] = np.repeat(numbers[: wide.size], wide.reshape(-1))
             orders.renew(total0, step)
             begun = step
-        own = row[:m]
-        names, weights = orders.predict(m, context[:, :m])
-        (n1, n2), (w1, w2) = names, weights
-        total = total0[:m] + w1
+        w1, w2 = orders.predict(m, context[:, :m])
+        plain, total = total0[:m], total0[:m] + w1
         total += w2
         r = np.floor(size[:m] / total)
-        t = np.minimum(rel[:m] / r, total - 1).astype(np.int32)
-        # Where both name the same number, all weight is the first one's.
-        joint = w2 * (n1 == n2)
-        w1 += joint
-        w2 -= joint
-        span = spans.take(names + own)
-        los = span >> 16
-        los[0] += w2 * (n2 < n1)
-        los[1] += w1 * (n1 <= n2)
-        span &= 0xFFFF
-        span += los
-        span += weights
-        past = t >= span
-        in1, in2 = (t >= los) > past
-        s, lo, hi = np.where(in1, n1, n2), np.where(in1, los[0], los[1]), np.where(in1, span[0], span[1])
-        rest = (~(in1 | in2)).nonzero()[0]
-        if len(rest):
-            weights *= past
-            w1 += w2
-            above = w1.take(rest)
-            plain = t.take(rest)
-            plain -= above
-            np.minimum(plain, _TOTAL - 1, out=plain)
-            x = table.take(look.take(rest) + plain).astype(np.int64)
-            span = spans.take(row.take(rest) + x)
-            above += span >> 16
-            s[rest], lo[rest], hi[rest] = x, above, above + np.maximum(span & 0xFFFF, 1)
-        hi -= lo
-        left, wide = rel[:m] - lo * r, hi * r
+        total -= 1
+        t = np.minimum(rel[:m] / r, total, out=total).astype(np.int64)
+        s = table.take(np.minimum(t, _TOTAL - 1) + look[:m])
+        span = spans.take(s + row[:m])
+        lo, wide = (span >> 16).astype(float), (span & 0xFFFF).astype(float)
+        beyond = (t >= plain).nonzero()[0]
+        if len(beyond):
+            # The weights' own intervals; where both name the same number, all weight is one.
+            n1, n2 = (held.take(beyond) >> 4 for held in orders.held)
+            first, second, begin = w1.take(beyond), w2.take(beyond), plain.take(beyond)
+            first += second * (n1 == n2)
+            end = begin + first
+            is1 = t.take(beyond) < end
+            s[beyond], lo[beyond], wide[beyond] = np.where(is1, n1, n2), np.where(is1, begin, end), np.where(is1, first, second)
+        lo *= r
+        wide *= r
+        left = rel[:m] - lo
         again = (wide < _LEAST).nonzero()[0]
         place = at.take(again)
         left[again] = left.take(again) * _WORD + words.take(place)
@@ -305,7 +303,8 @@ def _decode_lanes(payloads: list[memoryview], lengths: np.ndarray, distinct: np.
         rel[:m], size[:m] = left, wide
         orders.learn(step, m, s)
         grid[step, :m] = s
-        context = np.stack((s, _place2(s, context[0, :m])))
+        context[1, :m] = _place2(s.astype(np.int64), context[0, :m])
+        context[0, :m] = s
     return grid
 
 
@@ -321,11 +320,12 @@ def _numbered(block: np.ndarray, mark: np.ndarray, number: np.ndarray) -> tuple[
     if not len(mark):
         names, at = np.unique(block, return_inverse=True)
         return names, at.astype(np.int16)
+    block = block.astype(np.int64)
     mark[block] = True
     names = np.flatnonzero(mark)
     number[names] = np.arange(len(names))
     mark[names] = False
-    return names, number[block]
+    return names, number.take(block)
 
 
 def _crc(ids: np.ndarray, listed: bytes | memoryview, payload: bytes | memoryview) -> int:
@@ -342,6 +342,8 @@ def encode(ids: np.ndarray) -> bytes:
     mark, number = np.zeros(top, bool), np.zeros(top, np.int16)
     out = []
     for a, b in _parts(len(blocks), WRITTEN):
+        if a == b:
+            continue
         heads, seqs = [], []
         for x in blocks[a:b]:
             names, seq = _numbered(x, mark, number)

@@ -32,6 +32,76 @@ def test_coder_blocks():
     assert (rangecoder.decode(data[cut:]) == ids[len(ids) // rangecoder.BLOCK * rangecoder.BLOCK :]).all()
 
 
+def _intervals(seq, distinct):
+    """The intervals of a block's numbers, worked out one by one."""
+    levels, total, out = rangecoder._LEVELS, rangecoder._TOTAL, []
+    counts, after = [0] * distinct, [{}, {}]  # by context: number and confidence
+    records, begun = [[[0, 0] for _ in range(levels)] for _ in after], []
+    for step, x in enumerate(seq):
+        if step in rangecoder.EPOCHS:
+            for number, said in begun:
+                counts[number] += 1
+                for record, (level, right) in zip(records, said, strict=True):
+                    record[level][right] += 1
+            begun = []
+            size = [n * (total - distinct) // max(step, 1) + 1 for n in counts]
+            plain = sum(size)
+            weight = [[min(plain * (r + 1) // (w + 3), plain * rangecoder._RATIO) * (level > 0) for level, (w, r) in enumerate(record)] for record in records]
+        one, two = (seq[step - 1] if step else 0), (seq[step - 2] if step > 1 else 0)
+        keys = one, (one * 75 + two) % rangecoder._SLOTS
+        (n1, c1), (n2, c2) = (known.get(key, (0, 0)) for known, key in zip(after, keys, strict=True))
+        w1, w2 = weight[0][c1], weight[1][c2]
+        first, second = (w1 + w2, 0) if n1 == n2 else (w1, w2)
+        ways = [(size[x], sum(size[:x])), (first * (n1 == x), plain), (second * (n2 == x), plain + first)]
+        wide, start = max(ways, key=lambda way: way[0])
+        out.append((start, wide, plain + w1 + w2))
+        begun.append((x, [(c, n == x and c > 0) for n, c in ((n1, c1), (n2, c2))]))
+        for known, key, n, c in ((after[0], keys[0], n1, c1), (after[1], keys[1], n2, c2)):
+            known[key] = (x, min(c + 1, levels - 1) if c and n == x else 1)
+    return out
+
+
+def test_numbers_are_coded_by_their_widest_interval():
+    """Counts come first in the range and the predictions' weights behind them, as worked out one by one."""
+    rng = np.random.default_rng(7)
+    runs = [np.tile(np.arange(9), 130)[:1150], rng.zipf(1.4, 1150) % 60, np.where(rng.random(1150) < 0.8, np.arange(1150) % 7, rng.integers(0, 40, 1150))]
+    seqs = [np.unique(run, return_inverse=True)[1] for run in runs]
+    grid, distinct = np.stack(seqs, 1).astype(np.int16), np.array([s.max() + 1 for s in seqs])
+    out = tuple(np.zeros(grid.shape, np.float32) for _ in range(3))
+    rangecoder._predicted(grid, np.full(3, 1150), distinct, out)
+    ways = set()
+    for lane, seq in enumerate(seqs):
+        want = _intervals(seq.tolist(), int(distinct[lane]))
+        assert [tuple(map(int, x)) for x in zip(*(field[:, lane] for field in out), strict=True)] == want
+        ways |= {start >= total / 2 for start, _, total in want}
+    assert ways == {False, True}
+    for run in runs:
+        assert (rangecoder.decode(rangecoder.encode(run.astype(np.uint32))) == run).all()
+
+
+def test_carries_run_through_words():
+    """Carries run on through full words, in each lane by itself."""
+    rng = np.random.default_rng(8)
+    ids = np.where(rng.random(300_000) < 0.999, 5, rng.integers(0, 50_000, 300_000)).astype(np.uint32)
+    for part in (ids, ids[: 5 * rangecoder.BLOCK + 1], ids[:1], ids[:0]):
+        assert (rangecoder.decode(rangecoder.encode(part)) == part).all()
+
+
+def test_reader_looks_few_things_up():
+    """Look-ups into tables at each step of a reader, however many blocks it reads side by side."""
+    import sys
+
+    ids = (np.random.default_rng(9).zipf(1.2, 3 * rangecoder.BLOCK) % 50_000).astype(np.uint32)
+    data, calls = rangecoder.encode(ids), []
+    sys.setprofile(lambda frame, event, arg: calls.append(arg.__name__) if event == "c_call" and "rangecoder" in frame.f_code.co_filename else None)
+    try:
+        back = rangecoder.decode(data)
+    finally:
+        sys.setprofile(None)
+    assert (back == ids).all()
+    assert calls.count("take") < 11 * rangecoder.BLOCK
+
+
 def test_coder_finds_damage():
     data = bytearray(rangecoder.encode(np.arange(100, dtype=np.uint32) * 7 % 31))
     for at in range(0, len(data), 5):
